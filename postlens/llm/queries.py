@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlens.llm import incremental, neardup, records, survivor
+from postlens.llm import encode, incremental, language, mixing, neardup, records, survivor
 from postlens.llm.ids import posting_number
 from postlens.plans.training import job_instants
 from postlens.session import table
@@ -101,6 +101,57 @@ def p6_reasons(spark: SparkSession, d: str) -> DataFrame:
     return joined.groupBy("batch_no", F.coalesce("reason", F.lit("new")).alias("outcome")).agg(F.count("*").alias("n_rows"))
 
 
+def p7_ids(spark: SparkSession, d: str) -> DataFrame:
+    """Token ids of every document's text by byte_bpe_50k."""
+    return encode.encode(table(spark, d, "documents"), "doc_id", "text")
+
+
+def p7_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """Documents by whether their ids decode to the very text."""
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    back = encode.decode(encode.encode(docs, "doc_id", "text"), "doc_id").withColumnRenamed("text", "back")
+    same = F.coalesce(F.col("text"), F.lit("")) == F.col("back")
+    return docs.join(back, "doc_id").groupBy(same.alias("same")).agg(F.count("*").alias("n_documents"))
+
+
+def p8_mix(spark: SparkSession, d: str) -> DataFrame:
+    """Documents of the mix with the number of their copies."""
+    mixed = mixing.mix(table(spark, d, "documents"), table(spark, d, "mix_targets"))
+    return mixed.where("copies > 0").select("doc_id", "source", "n_tokens", "copies")
+
+
+def p8_shares(spark: SparkSession, d: str) -> DataFrame:
+    """Target and real share of each source in the mix."""
+    targets = table(spark, d, "mix_targets")
+    return mixing.shares_of(mixing.mix(table(spark, d, "documents"), targets), targets)
+
+
+def p8_soft(spark: SparkSession, d: str) -> DataFrame:
+    """The mix with documents of unknown source, which count for the domains that the classifier sees in them."""
+    mixed = mixing.mix(table(spark, d, "documents"), table(spark, d, "mix_targets"), use_unlabelled=True)
+    return mixed.where("copies > 0").groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("copies")).alias("tokens"), F.sum("copies").alias("n_used"))
+
+
+def _segments(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    return language.segments(docs, "doc_id", "text", language.train(docs, "doc_id", "text", "lang", "title"), "title")
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    """Stretches of one language in the documents whose label is missing, wrong or not enough."""
+    return language.wrong_labels(_segments(spark, d), table(spark, d, "documents"), "doc_id", "lang")
+
+
+def p9_documents(spark: SparkSession, d: str) -> DataFrame:
+    """Language of each document with a confidence."""
+    return language.document_languages(_segments(spark, d), "doc_id")
+
+
+def p9_segments(spark: SparkSession, d: str) -> DataFrame:
+    """Every stretch of one language in every document, with its place and confidence."""
+    return _segments(spark, d).select("doc_id", F.explode("segments").alias("s")).select("doc_id", "s.*")
+
+
 QUERIES = {
     "p2_found": p2_found,
     "p2_collapsed": p2_collapsed,
@@ -110,5 +161,13 @@ QUERIES = {
     "p4_records": p4_records,
     "p6_found": p6_found,
     "p6_reasons": p6_reasons,
+    "p7_ids": p7_ids,
+    "p7_roundtrip": p7_roundtrip,
+    "p8_mix": p8_mix,
+    "p8_shares": p8_shares,
+    "p8_soft": p8_soft,
+    "p9_found": p9_found,
+    "p9_documents": p9_documents,
+    "p9_segments": p9_segments,
 }
 SQL: dict[str, str] = {}
