@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlens.llm import encode, incremental, language, mixing, neardup, records, survivor
+from postlens.llm import canon, encode, incremental, language, mixing, neardup, records, survivor
 from postlens.llm.ids import posting_number
 from postlens.plans.training import job_instants
 from postlens.session import table
@@ -80,6 +80,23 @@ def p4_records(spark: SparkSession, d: str) -> DataFrame:
     return survivor.golden(rows, "job_no", "row_id", P4_RECORD, "trust_rank", "epoch_ms")
 
 
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    """Listed place or title that each typed location and title of sap_jobs means; -1 for none."""
+    jobs = table(spark, d, "sap_jobs").select("row_id", "location", "title")
+    places = canon.map_places(jobs, "row_id", "location", table(spark, d, "ref_locations"))
+    titles = canon.map_titles(jobs, "row_id", "title", table(spark, d, "ref_titles"))
+    with_field = lambda df, f: df.select("row_id", F.lit(f).alias("field"), "ref_id")
+    return with_field(places, "location").unionByName(with_field(titles, "title"))
+
+
+def p5_unmatched(spark: SparkSession, d: str) -> DataFrame:
+    """Typed values without an entry, and how often each occurs."""
+    jobs = table(spark, d, "sap_jobs").select("row_id", "location", "title")
+    missing = p5_found(spark, d).where("ref_id = -1")
+    value = F.when(F.col("field") == "location", F.col("location")).otherwise(F.col("title"))
+    return missing.join(jobs, "row_id").groupBy("field", value.alias("value")).agg(F.count("*").alias("n_rows"))
+
+
 def _history(spark: SparkSession, d: str) -> DataFrame:
     return incremental.contents(table(spark, d, "linkedin_jobs"), "row_id", F.lit(-1))
 
@@ -159,6 +176,8 @@ QUERIES = {
     "p3_classes": p3_classes,
     "p4_found": p4_found,
     "p4_records": p4_records,
+    "p5_found": p5_found,
+    "p5_unmatched": p5_unmatched,
     "p6_found": p6_found,
     "p6_reasons": p6_reasons,
     "p7_ids": p7_ids,
