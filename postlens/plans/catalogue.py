@@ -1,16 +1,489 @@
-"""Queries for the operators of the posting pipeline over the driver tables."""
+"""Queries for the operators of the posting pipeline over the driver's tables, with their SQL.
+
+Every query runs over whole tables.  The SQL is written on its own, in DuckDB's dialect; arrays are
+joined to text so that values compare.
+"""
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlens.session import table
+from postlens.functions import rules, text
+from postlens.operators import dedupe, enrich, facets, grid, history, merge, report
+from postlens.session import shared_folder, table
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+SQL: dict[str, str] = {}
 
 
-def flagship(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "linkedin_jobs").groupBy("company").agg(F.count("*").alias("n"))
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = sql
+        return f
 
+    return add
 
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
+
+# --- pieces of SQL ------------------------------------------------------------------------------
+
+_SPACES = r"[\s\x{0b}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+
+
+def q(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+def sql_space(x: str) -> str:
+    out = f"coalesce({x}, '')"
+    for entity, char in text._ENTITIES.items():
+        out = f"replace({out}, {q(entity)}, {q(char)})"
+    return f"trim(regexp_replace({out}, {q(_SPACES)}, ' ', 'g'))"
+
+
+def sql_html(x: str) -> str:
+    return sql_space(f"regexp_replace(coalesce({x}, ''), '(?s)<!--.*?-->|<[^>]*>', ' ', 'g')")
+
+
+def sql_match(x: str, pattern: str) -> str:
+    return f"coalesce(regexp_matches({x}, {q('(?i)' + pattern)}), false)"
+
+
+def sql_tags(x: str, table_: dict[str, str], default: str | None = None) -> str:
+    cases = ", ".join(f"CASE WHEN {sql_match(x, p)} THEN {q(label)} END" for label, p in table_.items())
+    joined = f"array_to_string(list_filter([{cases}], lambda t: t IS NOT NULL), '; ')"
+    return joined if default is None else f"coalesce(nullif({joined}, ''), {q(default)})"
+
+
+def sql_first(rules_: tuple, inputs: dict[str, str], default: str) -> str:
+    return "CASE " + " ".join(f"WHEN {sql_match(inputs[source], p)} THEN {q(label)}" for label, source, p in rules_) + f" ELSE {q(default)} END"
+
+
+def sql_lookup(x: str, pairs: dict[str, str]) -> str:
+    return f"CASE {x} " + " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in pairs.items()) + f" ELSE {x} END"
+
+
+def sql_places(x: str) -> str:
+    tidy = f"list_filter(list_transform(string_split_regex(coalesce({x}, ''), ',|/|;|\\bor\\b|\\band\\b'), lambda p: {sql_space('p')}), lambda p: p != '')"
+    mapped = f"list_transform(list_transform({tidy}, lambda p: {sql_lookup('p', rules.CITY_COUNTRY)}), lambda p: {sql_lookup('p', rules.PLACE_ALIASES)})"
+    return f"list_filter({mapped}, lambda p, i: list_position({mapped}, p) = i)"
+
+
+def sql_stable(*parts: str) -> str:
+    joined = ", ".join(f"CASE WHEN {p} IS NOT NULL THEN lower({sql_space(p)}) END" for p in parts)
+    return f"substr(sha1(concat_ws('|', {joined})), 1, 16)"
+
+
+_DOC = f"SELECT doc_id, source, lang, {sql_space('title')} AS t, {sql_html('text')} AS b, trim(concat_ws(' ', {sql_space('title')}, {sql_space('company')}, {sql_html('text')})) AS x FROM documents"
+
+
+def _docs(spark: SparkSession, d: str) -> DataFrame:
+    """Documents with cleaned title ``t``, body ``b`` and everything ``x``."""
+    docs = table(spark, d, "documents")
+    t, c, b = text.normalize_space(F.col("title")), text.normalize_space(F.col("company")), text.html_text(F.col("text"))
+    return docs.select("doc_id", "source", "lang", t.alias("t"), b.alias("b"), c.alias("c")).withColumn("x", F.trim(F.concat_ws(" ", "t", "c", "b")))
+
+
+# --- cleaning -----------------------------------------------------------------------------------
+
+
+@query(f"SELECT doc_id, md5({sql_space('text')}) AS h FROM documents")
+def normalize_space_docs(spark, d):
+    return table(spark, d, "documents").select("doc_id", F.md5(text.normalize_space(F.col("text"))).alias("h"))
+
+
+@query(f"SELECT doc_id, length({sql_html('text')}) AS n, md5({sql_html('text')}) AS h FROM documents")
+def html_text_docs(spark, d):
+    return table(spark, d, "documents").select("doc_id", text.html_text(F.col("text")).alias("t")).select("doc_id", F.length("t").alias("n"), F.md5("t").alias("h"))
+
+
+@query()
+def html_text_exact_jobs(spark, d):
+    return table(spark, d, "linkedin_jobs").select("row_id", F.length(text.html_text_exact(F.col("description"))).alias("n"))
+
+
+@query(f"SELECT row_id, {sql_stable('title', 'company', 'location', 'url')} AS id FROM linkedin_jobs")
+def stable_id_jobs(spark, d):
+    return table(spark, d, "linkedin_jobs").select("row_id", text.stable_id(*[F.col(c) for c in ("title", "company", "location", "url")]).alias("id"))
+
+
+@query(f"SELECT row_id, array_to_string({sql_places('location')}, '; ') AS places, coalesce(({sql_places('location')})[1], CASE WHEN remote THEN 'Worldwide / Not specified' ELSE 'Not specified' END) AS primary_place FROM sap_jobs")
+def split_places_jobs(spark, d):
+    places = text.split_places(F.col("location"))
+    default = F.when(F.col("remote"), "Worldwide / Not specified").otherwise("Not specified")
+    return table(spark, d, "sap_jobs").select("row_id", F.array_join(places, "; ").alias("places"), text.primary_place(places, default).alias("primary_place"))
+
+
+@query(f"SELECT row_id, CASE WHEN {sql_match(sql_space('location'), rules.NO_PLACE_TEXT)} THEN '' ELSE {sql_space('location')} END AS place FROM sap_jobs")
+def clean_place_jobs(spark, d):
+    return table(spark, d, "sap_jobs").select("row_id", text.clean_place(F.col("location")).alias("place"))
+
+
+@query("SELECT row_id, coalesce(nullif(salary_min, ''), nullif(salary_max, ''), nullif(salary_currency, ''), 'none') AS v FROM sap_jobs")
+def coalesce_chain_jobs(spark, d):
+    return table(spark, d, "sap_jobs").select("row_id", text.first_present(F.col("salary_min"), F.col("salary_max"), F.col("salary_currency"), F.lit("none")).alias("v"))
+
+
+@query(f"SELECT doc_id, md5(substr({sql_html('text')}, 1, 420)) AS h FROM documents")
+def excerpt_docs(spark, d):
+    return table(spark, d, "documents").select("doc_id", F.md5(text.excerpt(text.html_text(F.col("text")))).alias("h"))
+
+
+@query("""SELECT row_id, CASE WHEN regexp_full_match(posted_at, '-?\\d+') AND try_cast(posted_at AS BIGINT) IS NOT NULL AND length(posted_at) <= 11
+ THEN strftime(make_timestamp(CAST(posted_at AS BIGINT) * 1000000), '%Y-%m-%dT%H:%M:%S') ELSE posted_at END AS iso FROM sap_jobs WHERE posted_at IS NULL OR length(posted_at) <= 11 OR NOT regexp_full_match(posted_at, '-?\\d+')""")
+def epoch_iso_jobs(spark, d):
+    rows = table(spark, d, "sap_jobs").where("posted_at IS NULL OR length(posted_at) <= 11 OR NOT posted_at RLIKE '^-?[0-9]+$'")
+    return rows.select("row_id", text.epoch_iso(F.col("posted_at")).alias("iso"))
+
+
+@query(f"""WITH s AS (SELECT doc_id, list_filter([{', '.join(f"CASE WHEN {sql_match('x', p)} THEN {q(label)} END" for label, p in rules.SKILLS.items())}], lambda t: t IS NOT NULL) AS v FROM ({_DOC}))
+SELECT doc_id, array_to_string(CASE WHEN len(v) > 3 THEN list_append(v[1:3], '+' || (len(v) - 3)) ELSE v END, '; ') AS chips FROM s""")
+def chips_docs(spark, d):
+    return _docs(spark, d).select("doc_id", F.array_join(text.chips(rules.tags(F.col("x"), rules.SKILLS), 3), "; ").alias("chips"))
+
+
+@query("""WITH v AS (SELECT row_id, CASE WHEN trim(coalesce(salary_min, '')) NOT IN ('', '0') THEN trim(salary_min) END AS a, CASE WHEN trim(coalesce(salary_max, '')) NOT IN ('', '0') THEN trim(salary_max) END AS b,
+ nullif(trim(salary_currency), '') AS c, nullif(trim(salary_period), '') AS p FROM sap_jobs)
+SELECT row_id, CASE WHEN a IS NULL AND b IS NULL THEN '' ELSE concat_ws(' ', CASE WHEN a = b THEN a ELSE concat_ws('-', a, b) END, c, p) END AS salary FROM v""")
+def salary_text_jobs(spark, d):
+    cols = [F.col(c) for c in ("salary_min", "salary_max", "salary_currency", "salary_period")]
+    return table(spark, d, "sap_jobs").select("row_id", report.salary_text(*cols).alias("salary"))
+
+
+@query("""SELECT row_id, 'keywords=' || replace(url_encode(coalesce(query, '')), '%20', '+') || '&location=' || replace(url_encode(coalesce(query_location, '')), '%20', '+') AS link FROM linkedin_jobs""")
+def search_links_jobs(spark, d):
+    some = lambda c: F.coalesce(F.col(c), F.lit(""))
+    return table(spark, d, "linkedin_jobs").select("row_id", text.url_query({"keywords": some("query"), "location": some("query_location")}).alias("link"))
+
+
+# --- tags and classes ---------------------------------------------------------------------------
+
+
+def _tag_query(name: str, rules_: dict[str, str], default: str | None = None) -> None:
+    def run(spark, d):
+        return _docs(spark, d).select("doc_id", F.array_join(rules.tags(F.col("x"), rules_, default), "; ").alias("labels"))
+
+    run.__name__ = name
+    query(f"SELECT doc_id, {sql_tags('x', rules_, default)} AS labels FROM ({_DOC})")(run)
+
+
+_tag_query("tag_modules_docs", rules.MODULES, rules.NO_MODULE)
+_tag_query("tag_skills_docs", rules.SKILLS)
+_tag_query("tag_terms_docs", rules.STRONG_TERMS)
+_tag_query("tag_soft_skills_docs", rules.SOFT_SKILLS)
+_tag_query("tag_degree_levels_docs", rules.DEGREE_LEVELS)
+_tag_query("tag_degree_fields_docs", rules.DEGREE_FIELDS)
+
+
+@query(f"SELECT doc_id FROM ({_DOC}) WHERE " + " OR ".join(sql_match("x", p) for p in rules.STRONG_TERMS.values()))
+def match_filter_docs(spark, d):
+    return _docs(spark, d).where(rules.any_match(F.col("x"), rules.STRONG_TERMS)).select("doc_id")
+
+
+@query(f"SELECT doc_id, {sql_first(rules.ROLE_RULES, {'title': 't', 'text': 'x'}, rules.OTHER_ROLE)} AS role FROM ({_DOC})")
+def classify_role_docs(spark, d):
+    return _docs(spark, d).select("doc_id", rules.first_match(rules.ROLE_RULES, {"title": F.col("t"), "text": F.col("x")}, rules.OTHER_ROLE).alias("role"))
+
+
+@query("SELECT doc_id, " + sql_first(rules.SENIORITY_RULES, {"sample": "(t || ' ' || substr(b, 1, 1000))"}, rules.NO_SENIORITY) + f" AS level FROM ({_DOC})")
+def classify_seniority_docs(spark, d):
+    return _docs(spark, d).select("doc_id", enrich.seniority(F.col("t"), F.col("b")).alias("level"))
+
+
+@query(f"""SELECT doc_id, CASE WHEN {sql_match('t', rules.TITLE_CORE)} AND {sql_match('t', rules.TITLE_DELIVERY)} THEN 'Core SAP delivery role'
+ WHEN {sql_match('t', rules.TITLE_CORE)} THEN 'SAP-titled role' WHEN {sql_tags('x', rules.MODULES)} != '' THEN 'SAP module/technical requirement'
+ WHEN {sql_match('x', rules.TOOL_PHRASES)} THEN 'SAP required as business tool' ELSE 'SAP mentioned' END AS focus FROM ({_DOC})""")
+def classify_focus_docs(spark, d):
+    modules = rules.tags(F.col("x"), rules.MODULES, rules.NO_MODULE)
+    return _docs(spark, d).select("doc_id", enrich.focus(F.col("t"), F.col("x"), modules, corrected=True).alias("focus"))
+
+
+@query()
+def classified_jobs(spark, d):
+    made = enrich.classify(table(spark, d, "linkedin_jobs"), job_id="linkedin_job_id", only_matching=True)
+    return made.select("row_id", "id", "primary_location", "role_family", "seniority", "sap_focus", F.array_join("skills", "; ").alias("skills"))
+
+
+# --- filters ------------------------------------------------------------------------------------
+
+
+@query(f"SELECT row_id FROM linkedin_jobs WHERE trim(coalesce(linkedin_job_id, '')) != '' AND length({sql_space('description')}) < 80")
+def needs_detail_jobs(spark, d):
+    rows = table(spark, d, "linkedin_jobs").where(text.present(F.col("linkedin_job_id")))
+    return rows.where(F.length(text.normalize_space(F.col("description"))) < 80).select("row_id")
+
+
+@query("SELECT row_id, title FROM sap_jobs WHERE contains(lower(concat_ws(' ', title, company, location)), 'consultant') AND source = 'himalayas'")
+def search_table_jobs(spark, d):
+    return report.search(table(spark, d, "sap_jobs"), "Consultant", columns=("title", "company", "location"), source="himalayas").select("row_id", "title")
+
+
+@query("SELECT count(*) AS n_rows, count(*) FILTER (WHERE trim(title) != '' AND trim(company) != '' AND trim(url) != '') AS n_complete FROM company_career_jobs")
+def required_fields_careers(spark, d):
+    ok = text.present(F.col("title")) & text.present(F.col("company")) & text.present(F.col("url"))
+    return table(spark, d, "company_career_jobs").agg(F.count("*").alias("n_rows"), F.count_if(ok).alias("n_complete"))
+
+
+# --- duplicates and merges ----------------------------------------------------------------------
+
+_FIRST_KEY = "lower(" + sql_space("coalesce(title, '') || '|' || coalesce(company, '') || '|' || coalesce(url, '')") + ")"
+
+
+@query(f"SELECT min(row_id) AS row_id FROM sap_jobs GROUP BY {_FIRST_KEY}")
+def first_wins_jobs(spark, d):
+    jobs = table(spark, d, "sap_jobs").select("row_id", "title", "company", "url")
+    return dedupe.first_wins(jobs, dedupe.key_of(F.col("title"), F.col("company"), F.col("url")), ["row_id"]).select("row_id")
+
+
+@query(f"SELECT min(row_id) AS row_id FROM linkedin_jobs GROUP BY coalesce(nullif(trim(linkedin_job_id), ''), {sql_stable('title', 'company', 'location', 'url')})")
+def first_wins_postings(spark, d):
+    jobs = table(spark, d, "linkedin_jobs").select("row_id", "linkedin_job_id", "title", "company", "location", "url")
+    key = dedupe.posting_key(*[F.col(c) for c in ("linkedin_job_id", "title", "company", "location", "url")])
+    return dedupe.first_wins(jobs, key, ["row_id"]).select("row_id")
+
+
+_CUT = "2026-04-01"
+
+
+def _halves(spark, d):
+    rows = table(spark, d, "company_career_jobs").select("row_id", "id", "title", "description", "first_seen_snapshot").where("id IS NOT NULL")
+    one = lambda part: dedupe.first_wins(part, F.col("id"), ["row_id"])
+    return one(rows.where(F.col("first_seen_snapshot") < _CUT)), one(rows.where(F.col("first_seen_snapshot") >= _CUT))
+
+
+_UPSERT = f"""WITH r AS (SELECT row_id, id, title, description, first_seen_snapshot FROM company_career_jobs WHERE id IS NOT NULL),
+o AS (SELECT * FROM r WHERE first_seen_snapshot < '{_CUT}' QUALIFY row_number() OVER (PARTITION BY id ORDER BY row_id) = 1),
+n AS (SELECT * FROM r WHERE first_seen_snapshot >= '{_CUT}' QUALIFY row_number() OVER (PARTITION BY id ORDER BY row_id) = 1)
+SELECT coalesce(o.id, n.id) AS id, CASE WHEN n.id IS NOT NULL THEN n.title ELSE o.title END AS title,
+ md5(coalesce(CASE WHEN n.id IS NULL OR (o.id IS NOT NULL AND trim(coalesce(o.description, '')) != '' AND trim(coalesce(n.description, '')) = '') THEN o.description ELSE n.description END, '')) AS h,
+ CASE WHEN o.id IS NULL THEN 'S1' ELSE o.first_seen_snapshot END AS first_seen_snapshot, CASE WHEN n.id IS NOT NULL THEN 'S1' ELSE '' END AS last_seen_snapshot
+FROM o FULL OUTER JOIN n ON o.id = n.id"""
+
+
+@query(_UPSERT)
+def upsert_careers(spark, d):
+    old, new = _halves(spark, d)
+    pool = merge.with_history(old)
+    made = merge.upsert(pool, merge.with_history(new), "id", "T1", "S1", keep_if_empty="description", kept=("description",))
+    return made.select("id", "title", F.md5(F.coalesce("description", F.lit(""))).alias("h"), "first_seen_snapshot", "last_seen_snapshot")
+
+
+@query("""SELECT 'seen' AS part, count(*) AS n FROM linkedin_incoming i WHERE EXISTS (SELECT 1 FROM linkedin_jobs j WHERE j.linkedin_job_id = i.linkedin_job_id)
+UNION ALL SELECT 'new', count(*) FROM linkedin_incoming i WHERE NOT EXISTS (SELECT 1 FROM linkedin_jobs j WHERE j.linkedin_job_id = i.linkedin_job_id)""")
+def split_seen_incoming(spark, d):
+    seen, new = merge.split_seen(table(spark, d, "linkedin_jobs"), table(spark, d, "linkedin_incoming"), "linkedin_job_id")
+    return seen.agg(F.count("*").alias("n")).select(F.lit("seen").alias("part"), "n").unionByName(new.agg(F.count("*").alias("n")).select(F.lit("new").alias("part"), "n"))
+
+
+@query("""SELECT linkedin_job_id, arg_min(title, row_id) FILTER (WHERE trim(title) != '') AS title, max(length(trim(coalesce(description, '')))) AS n_description, min(first_seen_snapshot) FILTER (WHERE trim(first_seen_snapshot) != '') AS first_seen_snapshot,
+ max(last_seen_snapshot) FILTER (WHERE trim(last_seen_snapshot) != '') AS last_seen_snapshot, array_to_string(list_sort(list_distinct(list(worker_id) FILTER (WHERE trim(worker_id) != ''))), '; ') AS workers
+FROM linkedin_jobs WHERE linkedin_job_id IS NOT NULL GROUP BY linkedin_job_id""")
+def merge_shards_jobs(spark, d):
+    cols = ["row_id", "linkedin_job_id", "title", "description", "first_seen_snapshot", "last_seen_snapshot", "worker_id"]
+    rows = table(spark, d, "linkedin_jobs").select(*cols).where("linkedin_job_id IS NOT NULL")
+    made = merge.merge_shards(rows, "linkedin_job_id", ["row_id"], longest="description", least=["first_seen_snapshot"], most=["last_seen_snapshot"], union=["worker_id"])
+    return made.select("linkedin_job_id", "title", F.coalesce(F.length(F.trim("description")), F.lit(0)).alias("n_description"), "first_seen_snapshot", "last_seen_snapshot", F.array_join("worker_id", "; ").alias("workers"))
+
+
+_SEEN = "SELECT user_id, epoch_us(min(ts)) AS first_us, epoch_us(max(ts)) AS last_us, count(*) AS n_seen FROM events GROUP BY user_id"
+
+
+def _us(c: str):
+    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col(c).cast("timestamp_ntz"))
+
+
+@query(_SEEN)
+def seen_stamps_events(spark, d):
+    made = merge.seen_stamps(table(spark, d, "events"), "user_id", "ts")
+    return made.select("user_id", _us("first_seen").alias("first_us"), _us("last_seen").alias("last_us"), "n_seen")
+
+
+@query(_SEEN)
+def stream_seen_events(spark, d):
+    """The same stamps from a stream; each state is written to the shared folder, the last one is the result."""
+    from postlens.streaming.seen import seen_stream
+
+    base = f"{shared_folder(spark).rstrip('/')}/{uuid.uuid4().hex}"
+    stream = spark.readStream.schema(table(spark, d, "events").schema).option("pathGlobFilter", "*.parquet").parquet(f"{d}/events.parquet*")
+    write = lambda state, n: state.write.mode("overwrite").parquet(f"{base}/state")
+    seen_stream(stream, "user_id", "ts").writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", f"{base}/log").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{base}/state").select("user_id", _us("first_seen").alias("first_us"), _us("last_seen").alias("last_us"), "n_seen")
+
+
+@query("""SELECT c_custkey, c_name, coalesce(n_name, 'unknown') AS nation FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey""")
+def lookup_nation(spark, d):
+    names = table(spark, d, "nation").select(F.col("n_nationkey").alias("k"), "n_name")
+    rows = table(spark, d, "customer")
+    return rows.join(names, rows["c_nationkey"] == names["k"], "left").select("c_custkey", "c_name", F.coalesce("n_name", F.lit("unknown")).alias("nation"))
+
+
+@query("SELECT j.row_id, CASE WHEN trim(coalesce(i.title, '')) != '' THEN i.title ELSE j.title END AS title FROM linkedin_jobs j LEFT JOIN (SELECT linkedin_job_id, min(title) AS title FROM linkedin_incoming GROUP BY 1) i ON i.linkedin_job_id = j.linkedin_job_id")
+def detail_merge_jobs(spark, d):
+    details = table(spark, d, "linkedin_incoming").groupBy("linkedin_job_id").agg(F.min("title").alias("title"))
+    return merge.with_details(table(spark, d, "linkedin_jobs").select("row_id", "linkedin_job_id", "title"), details, "linkedin_job_id", ["title"]).select("row_id", "title")
+
+
+# --- aggregates ---------------------------------------------------------------------------------
+
+
+@query("SELECT event_type AS label, count(*) AS n FROM events WHERE event_type != '' GROUP BY 1")
+def facet_counts_events(spark, d):
+    return facets.count_values(table(spark, d, "events"), "event_type")
+
+
+def _sql_rule_counts(table_: dict[str, str], facet: str | None = None) -> str:
+    head = f"{q(facet)} AS facet, " if facet else ""
+    return " UNION ALL ".join(f"SELECT {head}{q(label)} AS label, count(*) AS n FROM x WHERE {sql_match('x', p)} HAVING count(*) > 0" for label, p in table_.items())
+
+
+@query(f"WITH x AS MATERIALIZED ({_DOC}) " + _sql_rule_counts(rules.SKILLS))
+def facet_counts_skills(spark, d):
+    return facets.count_values(_docs(spark, d).withColumn("skills", rules.tags(F.col("x"), rules.SKILLS)), "skills", multi=True)
+
+
+@query(f"WITH x AS MATERIALIZED ({_DOC}) SELECT 'source' AS facet, source AS label, count(*) AS n FROM x WHERE source != '' GROUP BY source UNION ALL "
+       + f"SELECT 'lang', lang, count(*) FROM x WHERE lang != '' GROUP BY lang UNION ALL {_sql_rule_counts(rules.MODULES, 'modules')} UNION ALL {_sql_rule_counts(rules.SOFT_SKILLS, 'soft_skills')} UNION ALL {_sql_rule_counts(rules.DEGREE_FIELDS, 'degree_fields')}")
+def facets_one_pass_docs(spark, d):
+    x = F.col("x")
+    return facets.facets(_docs(spark, d), single=["source", "lang"], tagged={"modules": (x, rules.MODULES), "soft_skills": (x, rules.SOFT_SKILLS), "degree_fields": (x, rules.DEGREE_FIELDS)})
+
+
+@query(f"WITH x AS MATERIALIZED ({_DOC}) " + _sql_rule_counts(rules.DEGREE_LEVELS))
+def rule_counts_docs(spark, d):
+    return facets.rule_counts(_docs(spark, d), F.col("x"), rules.DEGREE_LEVELS)
+
+
+_STOP = ", ".join(map(q, [*rules.STOP_WORDS, *rules.STOP_TOKENS]))
+
+
+@query(f"""WITH t AS (SELECT doc_id, unnest(list_distinct(list_filter(list_transform(regexp_extract_all(lower(t || ' ' || substr(b, 1, 420)), '[a-zA-Z][a-zA-Z0-9+/#.-]{{2,}}'),
+ lambda w: regexp_replace(w, '^[./-]+|[./-]+$', '', 'g')), lambda w: length(w) >= 4 AND w NOT IN ({_STOP})))) AS label FROM ({_DOC}))
+SELECT label, count(*) AS n FROM t GROUP BY label ORDER BY n DESC, label LIMIT 30""")
+def term_frequencies_docs(spark, d):
+    return facets.term_frequencies(_docs(spark, d), F.concat_ws(" ", "t", text.excerpt(F.col("b"))))
+
+
+@query(f"""SELECT count(*) AS n_rows, count(*) FILTER (WHERE last_seen_snapshot = '2026-01-15') AS n_seen, count(*) FILTER (WHERE first_seen_snapshot = '2026-01-15') AS n_new, count(*) FILTER (WHERE length({sql_space('description')}) >= 80) AS n_described,
+ count(DISTINCT CASE WHEN trim(coalesce(query, '')) != '' AND trim(coalesce(query_location, '')) != '' THEN (query, query_location, coalesce(query_filter, '')) END) AS n_searches,
+ round(count(*) FILTER (WHERE length({sql_space('description')}) >= 80) / count(*), 4) AS described_share FROM linkedin_jobs""")
+def coverage_jobs(spark, d):
+    return facets.coverage(table(spark, d, "linkedin_jobs"), "2026-01-15")
+
+
+@query("SELECT count(DISTINCT (user_id, event_type)) AS n FROM events")
+def distinct_tuples_events(spark, d):
+    return table(spark, d, "events").agg(F.count_distinct(F.struct("user_id", "event_type")).alias("n"))
+
+
+@query("WITH c AS (SELECT company AS label, count(*) AS n FROM linkedin_jobs WHERE company != '' GROUP BY 1), s AS (SELECT sum(n) AS total FROM c) SELECT label, n, round(n / total, 4) AS share FROM c, s WHERE label != 'Orvanta Consulting Group' ORDER BY n DESC, label LIMIT 15")
+def top_k_companies(spark, d):
+    return facets.top_k(facets.count_values(table(spark, d, "linkedin_jobs"), "company"), 15, exclude=["Orvanta Consulting Group"])
+
+
+@query("SELECT l_returnflag AS facet, l_linestatus AS label, count(*) AS n, row_number() OVER (PARTITION BY l_returnflag ORDER BY count(*) DESC, l_linestatus) AS rank FROM lineitem GROUP BY 1, 2 QUALIFY rank <= 2")
+def top_per_facet_lineitem(spark, d):
+    counts = table(spark, d, "lineitem").groupBy(F.col("l_returnflag").alias("facet"), F.col("l_linestatus").alias("label")).agg(F.count("*").alias("n"))
+    return facets.top_per_facet(counts, 2)
+
+
+@query("""WITH a AS (SELECT company AS label, count(*) AS n FROM linkedin_jobs WHERE company != '' GROUP BY 1 ORDER BY n DESC, label LIMIT 10), b AS (SELECT company AS label, count(*) AS n FROM company_career_jobs WHERE company != '' GROUP BY 1 ORDER BY n DESC, label LIMIT 10)
+SELECT label, n FROM a WHERE label IN (SELECT label FROM b)""")
+def label_overlap_pools(spark, d):
+    return facets.overlap(*[facets.count_values(table(spark, d, t), "company") for t in ("linkedin_jobs", "company_career_jobs")], k=10)
+
+
+@query("SELECT f.source, count(j.row_id) AS n FROM feed_registry f LEFT JOIN sap_jobs j ON j.source = f.source GROUP BY 1")
+def source_counts_feeds(spark, d):
+    return facets.source_counts(table(spark, d, "feed_registry"), table(spark, d, "sap_jobs"))
+
+
+@query("SELECT coalesce(provider, 'unknown') AS label, count(*) AS n FROM company_career_jobs GROUP BY 1")
+def provider_counts(spark, d):
+    return facets.count_values(table(spark, d, "company_career_jobs").withColumn("p", F.coalesce("provider", F.lit("unknown"))), "p")
+
+
+@query("SELECT median(date_diff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE))) AS days FROM lineitem JOIN orders ON l_orderkey = o_orderkey")
+def median_age_days(spark, d):
+    o, i = table(spark, d, "orders").select("o_orderkey", "o_orderdate"), table(spark, d, "lineitem").select("l_orderkey", "l_shipdate")
+    return i.join(o, i["l_orderkey"] == o["o_orderkey"]).agg(F.median(F.datediff("l_shipdate", "o_orderdate")).alias("days"))
+
+
+# --- grids, history, report ---------------------------------------------------------------------
+
+_GRID = "WITH g AS (SELECT n_name, r_name, event_type, row_number() OVER (ORDER BY n_name, r_name, event_type) - 1 AS idx FROM nation, region, (SELECT DISTINCT event_type FROM events))"
+
+
+@query(_GRID + " SELECT * FROM g WHERE idx >= 100 AND idx < 350")
+def grid_slice(spark, d):
+    axes = [table(spark, d, "nation").select("n_name"), table(spark, d, "region").select("r_name"), table(spark, d, "events").select("event_type").distinct()]
+    return grid.slice_of(grid.grid_of(axes), 100, 250).select("n_name", "r_name", "event_type", "idx")
+
+
+@query("SELECT CAST(w AS INTEGER) AS worker, 180 + (w - 1) * 5143 AS \"offset\", least(5143, 36000 - (w - 1) * 5143) AS size FROM range(1, 8) t(w)")
+def shard_ranges(spark, d):
+    return grid.shards(spark, 36180, 7, 180)
+
+
+@query("SELECT least(10000000, greatest(500, max(l_orderkey + l_quantity))) AS next_idx FROM (SELECT l_orderkey, CAST(l_quantity AS BIGINT) AS l_quantity FROM lineitem)")
+def high_watermark_lineitem(spark, d):
+    runs = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("offset"), F.lit(10).alias("size"), F.col("l_quantity").cast("bigint").alias("attempted"))
+    return grid.high_watermark(runs, 10_000_000, 500)
+
+
+def _by_day(spark, d):
+    e = table(spark, d, "events").groupBy(F.date_format("ts", "yyyy-MM-dd").alias("date")).agg(F.count("*").cast("double").alias("n_events"), F.max("event_type").alias("label"))
+    j = table(spark, d, "linkedin_jobs").groupBy(F.col("last_seen_snapshot").alias("date")).agg(F.count("*").cast("double").alias("n_events"), F.count("*").cast("double").alias("n_jobs"), F.max("worker_id").alias("label"))
+    return [e, j]
+
+
+@query("""WITH e AS (SELECT strftime(ts, '%Y-%m-%d') AS date, count(*)::DOUBLE AS n, max(event_type) AS label FROM events GROUP BY 1), j AS (SELECT last_seen_snapshot AS date, count(*)::DOUBLE AS n, max(worker_id) AS label FROM linkedin_jobs WHERE last_seen_snapshot IS NOT NULL GROUP BY 1)
+SELECT coalesce(e.date, j.date) AS date, coalesce(j.n, e.n, 0) AS n_events, coalesce(j.n, 0) AS n_jobs, coalesce(nullif(j.label, ''), nullif(e.label, ''), '') AS label FROM e FULL OUTER JOIN j ON e.date = j.date""")
+def history_consolidate(spark, d):
+    return history.consolidate(_by_day(spark, d), numbers=["n_events", "n_jobs"], texts=["label"])
+
+
+@query("""WITH c AS (SELECT strftime(o_orderdate, '%Y-%m-%d') AS date, o_orderstatus AS status, count(*) AS n FROM orders GROUP BY 1, 2) SELECT * FROM (SELECT date, status, n, n - lag(n) OVER (PARTITION BY status ORDER BY date) AS growth FROM c) WHERE growth IS NOT NULL""")
+def delta_by_day(spark, d):
+    counts = table(spark, d, "orders").groupBy(F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"), F.col("o_orderstatus").alias("status")).agg(F.count("*").alias("n"))
+    return history.day_over_day(counts, "date", "n", "status").where("growth IS NOT NULL")
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN CAST(o_custkey - o_orderkey AS BIGINT) ELSE 0 END AS net_new, CAST(o_custkey - o_orderkey AS BIGINT) AS raw_difference FROM orders""")
+def net_new_orders(spark, d):
+    rows = table(spark, d, "orders").select("o_orderkey", F.col("o_orderkey").alias("jobs_before"), F.col("o_custkey").alias("jobs_after"), F.when(F.col("o_orderstatus") == "F", "completed").otherwise("skipped").alias("status"))
+    return history.net_new(rows).select("o_orderkey", "net_new", "raw_difference")
+
+
+@query("""WITH p AS (SELECT DISTINCT linkedin_job_id FROM linkedin_jobs), f AS (SELECT linkedin_job_id, min(worker_id) AS worker_id FROM linkedin_incoming WHERE linkedin_job_id IS NULL OR linkedin_job_id NOT IN (SELECT linkedin_job_id FROM p WHERE linkedin_job_id IS NOT NULL) GROUP BY 1), k AS (SELECT worker_id, count(*) AS n_net_new FROM f GROUP BY 1)
+SELECT s.worker_id, s.n_rows, coalesce(k.n_net_new, 0) AS n_net_new FROM (SELECT worker_id, count(*) AS n_rows FROM linkedin_incoming GROUP BY 1) s LEFT JOIN k ON k.worker_id = s.worker_id""")
+def merge_statistics_incoming(spark, d):
+    return history.merge_statistics(table(spark, d, "linkedin_jobs"), table(spark, d, "linkedin_incoming").select("linkedin_job_id", "worker_id"), "linkedin_job_id", "worker_id")
+
+
+@query("WITH c AS (SELECT source AS label, count(*) AS n FROM sap_jobs WHERE source != '' GROUP BY 1) SELECT label, n, greatest(4.0, 100.0 * n / (SELECT max(n) FROM c))::DOUBLE AS width FROM c")
+def bars_sources(spark, d):
+    return report.bars(facets.count_values(table(spark, d, "sap_jobs"), "source"))
+
+
+@query("""WITH k AS (SELECT source, count(*) FILTER (WHERE coalesce(trim(salary_min), '') NOT IN ('', '0') OR coalesce(trim(salary_max), '') NOT IN ('', '0')) / count(*) AS share FROM sap_jobs GROUP BY 1)
+SELECT source, round(share, 4) AS share, CASE WHEN share < 0.25 THEN 'low' WHEN share < 0.5 THEN 'partial' ELSE 'strong' END AS level FROM k""")
+def narrative_levels(spark, d):
+    filled = lambda c: ~F.coalesce(F.trim(c), F.lit("")).isin("", "0")
+    k = table(spark, d, "sap_jobs").groupBy("source").agg((F.count_if(filled("salary_min") | filled("salary_max")) / F.count("*")).alias("s"))
+    return k.select("source", F.round("s", 4).alias("share"), report.level(F.col("s"), (0.25, 0.5), ("low", "partial", "strong")).alias("level"))
+
+
+@query()
+def flagship(spark, d):
+    """Skills asked for most in the link pool: deduplicated by posting, filtered, tagged, counted."""
+    jobs = table(spark, d, "linkedin_jobs").select("row_id", "linkedin_job_id", "title", "company", "location", "url", "description")
+    key = dedupe.posting_key(*[F.col(c) for c in ("linkedin_job_id", "title", "company", "location", "url")])
+    once = dedupe.first_wins(jobs, key, ["row_id"])
+    body = F.concat_ws(" ", text.normalize_space(F.col("title")), text.normalize_space(F.col("company")), text.html_text(F.col("description")))
+    read = once.withColumn("x", body).where(rules.any_match(F.col("x"), rules.STRONG_TERMS))
+    return facets.top_k(facets.count_values(read.withColumn("s", rules.tags(F.col("x"), rules.SKILLS)), "s", multi=True), 20)
