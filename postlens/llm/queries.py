@@ -189,4 +189,45 @@ QUERIES = {
     "p9_documents": p9_documents,
     "p9_segments": p9_segments,
 }
-SQL: dict[str, str] = {}
+
+# --- SQL in DuckDB's dialect, written on its own ---------------------------------------------------
+
+_PLAIN = "regexp_replace(lower(nfc_normalize({})), '[^\\p{{L}}\\p{{M}}\\p{{N}}]', '', 'g')"
+
+
+def _plain(x: str) -> str:
+    return _PLAIN.format(f"replace(replace({x}, '&amp;', '&'), '&#38;', '&')")
+
+
+def _bag(x: str, pattern: str) -> str:
+    parts = f"list_sort(list_filter(list_transform(string_split_regex({x}, '{pattern}'), lambda p: {_plain('p')}), lambda p: p != ''))"
+    return f"CASE WHEN {x} IS NULL THEN NULL ELSE array_to_string({parts}, chr(1)) END"
+
+
+_P2 = f"""WITH k AS (SELECT row_id, coalesce({_plain('title')}, chr(2)) AS t, coalesce({_plain('company')}, chr(2)) AS c, {_bag('location', '[,;/|]')} AS l,
+ {_plain("regexp_replace(url, '[?#].*', '')")} AS u, {_bag("regexp_extract(url, '[?]([^#]*)', 1)", '&')} AS q FROM linkedin_jobs),
+g AS (SELECT row_id, min(row_id) OVER (PARTITION BY least(t, c), greatest(t, c), l, u, q) AS f FROM k)
+SELECT f AS first_row_id, row_id AS copy_row_id FROM g WHERE row_id != f"""
+
+_P3 = """WITH d AS (SELECT row_id, description FROM linkedin_jobs UNION ALL SELECT row_id, description FROM company_career_jobs),
+w AS (SELECT row_id, regexp_extract_all(lower(regexp_replace(description, '<[^>]*>', ' ', 'g')), '[\\p{L}\\p{N}]+') AS w FROM d WHERE description IS NOT NULL),
+s AS (SELECT row_id, list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS g FROM w WHERE len(w) >= 30),
+t AS (SELECT row_id, len(g) AS n, unnest(g) AS x FROM s),
+o AS (SELECT a.row_id AS a, b.row_id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS shared FROM t a JOIN t b ON a.x = b.x AND a.row_id < b.row_id GROUP BY 1, 2)
+SELECT a AS row_id_a, b AS row_id_b FROM o WHERE shared >= 0.7 * (na + nb - shared) - 1e-9"""
+
+_NUMBER = """CASE WHEN trim(coalesce(linkedin_job_id, ''), ' \t\n\r') = '' THEN coalesce(nullif(regexp_extract(url, '[?&]currentJobId=(\\d{10})', 1), ''), nullif(regexp_extract(url, '(?:/|-)(\\d{10})/*(?:[?#].*)?$', 1), ''))
+ ELSE nullif(regexp_extract(regexp_replace(regexp_replace(trim(linkedin_job_id, ' \t\n\r'), '\\.0+$', ''), '[^0-9]', '', 'g'), '^0*([1-9]\\d{9})$', 1), '') END"""
+_LAST = "nullif(regexp_extract(regexp_replace(regexp_replace(lower(trim(url, ' \t\n\r')), '[?#].*$', ''), '^[a-z]+://[^/]*', ''), '([^/]+)/*$', 1), '')"
+
+_P6 = f"""WITH r AS (SELECT 0 AS batch, row_id AS id, {_NUMBER} AS num, {_LAST} AS part FROM linkedin_jobs UNION ALL SELECT batch_no, incoming_id, {_NUMBER}, {_LAST} FROM linkedin_incoming),
+n AS (SELECT num, min((batch, id)) AS first FROM r WHERE num IS NOT NULL GROUP BY num),
+c AS (SELECT part, string_split(part, '-') AS w, min((batch, id)) AS first FROM r WHERE num IS NULL AND part IS NOT NULL GROUP BY part),
+k AS (SELECT part, w, first, unnest(list_concat([part], list_transform(range(1, len(w) + 1), lambda i: array_to_string(list_concat(w[1:i - 1], w[i + 1:]), '-')))) AS key FROM c),
+p AS (SELECT DISTINCT a.part, a.w AS wa, b.w AS wb, b.first FROM k a JOIN k b ON a.key = b.key),
+e AS (SELECT part, first FROM p WHERE len(wa) != len(wb) OR len(list_filter(range(1, len(wa) + 1), lambda i: wa[i] != wb[i])) = 0
+ OR (len(list_filter(range(1, len(wa) + 1), lambda i: wa[i] != wb[i])) = 1 AND levenshtein(wa[list_filter(range(1, len(wa) + 1), lambda i: wa[i] != wb[i])[1]], wb[list_filter(range(1, len(wa) + 1), lambda i: wa[i] != wb[i])[1]]) <= 3)),
+m AS (SELECT part, min(first) AS first FROM e GROUP BY part)
+SELECT id AS incoming_id FROM r LEFT JOIN n ON r.num = n.num LEFT JOIN m ON r.num IS NULL AND r.part = m.part WHERE batch > 0 AND (n.first < (batch, id) OR m.first < (batch, id))"""
+
+SQL: dict[str, str] = {"p2_found": _P2, "p3_found": _P3, "p6_found": _P6}
