@@ -12,7 +12,7 @@ from postlens.functions.text import normalize_space, stable_id
 
 def key_of(*parts: Column) -> Column:
     """Normalised, lowered parts joined by ``|``; null parts are empty."""
-    return F.lower(normalize_space(F.concat_ws("|", *[F.coalesce(p.cast("string"), F.lit("")) for p in parts])))
+    return F.lower(F.concat_ws("|", *[normalize_space(p) for p in parts]))
 
 
 def first_wins(rows: DataFrame, key: Column, order: Sequence[str]) -> DataFrame:

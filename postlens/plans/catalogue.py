@@ -231,7 +231,7 @@ def required_fields_careers(spark, d):
 
 # --- duplicates and merges ----------------------------------------------------------------------
 
-_FIRST_KEY = "lower(" + sql_space("coalesce(title, '') || '|' || coalesce(company, '') || '|' || coalesce(url, '')") + ")"
+_FIRST_KEY = f"lower({sql_space('title')} || '|' || {sql_space('company')} || '|' || {sql_space('url')})"
 
 
 @query(f"SELECT min(row_id) AS row_id FROM sap_jobs GROUP BY {_FIRST_KEY}")
