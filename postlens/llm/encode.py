@@ -133,7 +133,7 @@ class Decoder:
 SLICE = 1000
 
 
-def _mapper(vocabulary: str, finish):
+def _mapper(vocabulary: str, finish, name: str = "made"):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = None
         for batch in batches:
@@ -141,7 +141,7 @@ def _mapper(vocabulary: str, finish):
                 part = batch.slice(at, SLICE)
                 encoder = encoder or Encoder(vocabulary)
                 lists = encoder.encode(part.column(part.num_columns - 1).to_pylist())
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], finish(lists)], [*part.schema.names[:-1], "made"])
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], finish(lists)], [*part.schema.names[:-1], name])
 
     return run
 
@@ -157,12 +157,12 @@ def encode(rows: DataFrame, key: str, text: str, vocabulary: str = VOCABULARY) -
 
 
 def with_token_counts(rows: DataFrame, text: str, vocabulary: str = VOCABULARY) -> DataFrame:
-    """``rows`` without the text, with ``n_tokens``; 0 for a null or empty text."""
-    others = [c for c in rows.columns if c != text]
+    """``rows`` without the text, with ``n_tokens`` (a column of that name is replaced); 0 for a null or empty text."""
+    others = [c for c in rows.columns if c not in (text, "n_tokens")]
     kinds = dict(rows.dtypes)
-    schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in others), "made int"])
-    mapper = _mapper(vocabulary, lambda lists: pa.array([len(x) for x in lists], pa.int32()))
-    return rows.select(*others, text).mapInArrow(mapper, schema).withColumnRenamed("made", "n_tokens")
+    schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in others), "n_tokens int"])
+    mapper = _mapper(vocabulary, lambda lists: pa.array([len(x) for x in lists], pa.int32()), "n_tokens")
+    return rows.select(*others, text).mapInArrow(mapper, schema)
 
 
 def decode(encoded: DataFrame, key: str, ids: str = "ids", vocabulary: str = VOCABULARY) -> DataFrame:

@@ -21,24 +21,28 @@ from pyspark.sql import functions as F
 
 from postlens.llm.ids import last_part, posting_number
 
-#: Least shared bytes of the longer content for a candidate.
-COVERAGE = 0.4
+#: Least share of the longer content's bytes that a candidate must have in common.  A pair one word
+#: apart has at least what that word leaves; a word of over half an address could be missed.  A
+#: smaller share costs more candidates: prefixes then hold frequent chunks as well.
+COVERAGE = 0.5
 MIN_CHUNK, MAX_CHUNK, CUT_BITS = 3, 24, 2
+_HYPHEN = ord("-")
 _GEAR = [xxhash.xxh32_intdigest(bytes([b]), seed=7) for b in range(256)]
 
 
 def chunks(content: str) -> list[str]:
-    """Content-defined chunks: a boundary where the low bits of the gear hash are zero.
+    """Content-defined chunks: a boundary where the low bits of the gear hash are zero, and after a hyphen.
 
-    The low bits depend on the last CUT_BITS bytes only, so boundaries come back right after an edit.
+    The low bits depend on the last CUT_BITS bytes only, and a hyphen always cuts, so boundaries come
+    back with the next word at the latest: an edit of one word changes no chunk of the others.
     """
     data, out, start, h = content.encode(), [], 0, 0
     for i, byte in enumerate(data):
         h = ((h << 1) + _GEAR[byte]) & 0xFFFFFFFF
         size = i + 1 - start
-        if (size >= MIN_CHUNK and not h & ((1 << CUT_BITS) - 1)) or size >= MAX_CHUNK:
+        if (size >= MIN_CHUNK and not h & ((1 << CUT_BITS) - 1)) or size >= MAX_CHUNK or byte == _HYPHEN:
             out.append(data[start : i + 1])
-            start = i + 1
+            start, h = i + 1, 0
     if start < len(data):
         out.append(data[start:])
     return [x.decode("utf-8", "replace") for x in out]

@@ -187,12 +187,9 @@ def train(rows: DataFrame, key: str, text: str, label: str, title: str | None =
     """
     cols = [language_of(F.col(label)).alias("y"), F.col(text).alias("text"), (F.col(title) if title else F.lit(None).cast("string")).alias("title")]
     chosen = rows.select(F.col(key), *cols).where("y IS NOT NULL AND text IS NOT NULL").withColumn("h", F.xxhash64(key)).orderBy("h", key).limit(bound)
-    texts, labels = [], []
-    for row in chosen.select("y", "text", "title").collect():
-        for a, b in sentences(row["text"], row["title"]):
-            texts.append(row["text"][a:b])
-            labels.append(LANGUAGES.index(row["y"]))
-    return fit(texts, np.array(labels, np.int64))
+    # a sentence that a label repeats counts once, so that copied texts don't outweigh others
+    seen = dict.fromkeys((row["y"], row["text"][a:b]) for row in chosen.select("y", "text", "title").collect() for a, b in sentences(row["text"], row["title"]))
+    return fit([t for _, t in seen], np.array([LANGUAGES.index(y) for y, _ in seen], np.int64))
 
 
 #: Below this confidence a sentence is ambiguous and goes with the sentence before it (else behind it).

@@ -133,7 +133,9 @@ def copy_pairs(rows: DataFrame, **columns: str) -> DataFrame:
 
 
 def collapse(rows: DataFrame, **columns: str) -> DataFrame:
-    """The first row of each group as it is, with ``n_copies`` (1: it has no copy)."""
+    """The first row of each group as it is, with ``n_copies`` (1: it has no copy; a column of that name is replaced)."""
     key = columns.get("key", "row_id")
-    sizes = copy_groups(rows, **columns).groupBy("first_key").agg(F.count("*").alias("n_copies"))
-    return rows.join(sizes, rows[key] == sizes["first_key"]).drop("first_key")
+    sizes = copy_groups(rows, **columns).groupBy("first_key").agg(F.count("*").alias("_n_copies")).withColumnRenamed("first_key", "_first_of_copies")
+    kept = [c for c in rows.columns if c != "n_copies"]
+    once = rows.dropDuplicates([key])
+    return once.join(sizes, once[key] == sizes["_first_of_copies"]).select(*[once[c] for c in kept], F.col("_n_copies").alias("n_copies"))
