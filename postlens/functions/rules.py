@@ -140,6 +140,19 @@ NO_SENIORITY = "Mid / Unspecified"
 TITLE_CORE = r"\bsap\b|\babap\b|\bs/4hana\b|\bs4hana\b|\bsuccessfactors\b|\bariba\b|\bfiori\b|\bui5\b|\bbtp\b|\bhana\b"
 TITLE_DELIVERY = r"\bconsultant\b|\bdeveloper\b|\bengineer\b|\barchitect\b|\badministrator\b|\bspecialist\b|\banalyst\b|\bsupport\b|\bmanager\b|\blead\b"
 TOOL_PHRASES = r"\bexperience with SAP\b|\bSAP experience\b|\bSAP knowledge\b|\bSAP system\b|\bSAP ERP\b"
+PAY_PHRASE = r"\b(salary|compensation|pay range|base pay)\b.{0,80}[$€£]\s?\d"
+# Named search filters as (seconds back, work model).
+SEARCH_FILTERS = {
+    "all": (None, None),
+    "past_24h": (86400, None),
+    "past_week": (604800, None),
+    "past_month": (2592000, None),
+    "onsite": (None, "onsite"),
+    "remote": (None, "remote"),
+    "hybrid": (None, "hybrid"),
+    "past_week_remote": (604800, "remote"),
+    "past_week_hybrid": (604800, "hybrid"),
+}
 NO_PLACE_TEXT = r"applicants|views|reposted|promoted"
 STOP_WORDS = """about across also and are auf aus bei can companies company customers das der die ein eine for from für has have
  ich im in ist job join location looking mit not of on or our people role sap services sie that the their this und von we will with

@@ -26,6 +26,18 @@ def focus(title: Column, body: Column, modules: Column, corrected: bool = False)
     )
 
 
+def salary_state(low: Column, high: Column, body: Column) -> Column:
+    """Whether pay is disclosed, mentioned near a pay word, or neither; null, empty and 0 are no amount."""
+    given = lambda c: ~F.coalesce(c.cast("string"), F.lit("")).isin("", "0")
+    return F.when(given(low) | given(high), "Disclosed").when(rules.matches(body, rules.PAY_PHRASE), "Mentioned in text").otherwise("Not disclosed")
+
+
+def work_model(place: Column, title: Column, remote: Column) -> Column:
+    """remote, hybrid or onsite by the provider's flag and the words of place and title."""
+    words = F.concat_ws(" ", place, title)
+    return F.when(rules.matches(words, r"\bhybrid\b"), "hybrid").when(F.coalesce(remote, F.lit(False)) | rules.matches(words, r"\bremote\b"), "remote").otherwise("onsite")
+
+
 def seniority(title: Column, body: Column) -> Column:
     """By the title and the first 1000 characters of the text; the first level that matches."""
     sample = F.concat_ws(" ", F.coalesce(title, F.lit("")), F.substring(F.coalesce(body, F.lit("")), 1, 1000))

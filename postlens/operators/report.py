@@ -28,6 +28,24 @@ def search(rows: DataFrame, term: str = "", columns: tuple[str, ...] = ("title",
     return out
 
 
+def unknown_filters(names: list[str]) -> list[str]:
+    """Names that are no search filter, in order."""
+    from postlens.functions.rules import SEARCH_FILTERS
+
+    return [n for n in dict.fromkeys(names) if n not in SEARCH_FILTERS]
+
+
+def search_filter(rows: DataFrame, name: str, at: Column, now: Column, model: Column) -> DataFrame:
+    """Rows that a named search filter keeps: not older than its seconds before ``now``, of its work model."""
+    from postlens.functions.rules import SEARCH_FILTERS
+
+    if unknown_filters([name]):
+        raise ValueError(f"unknown filter {name}")
+    seconds, wanted = SEARCH_FILTERS[name]
+    out = rows if seconds is None else rows.where(F.timestamp_diff("SECOND", at, now) <= seconds)
+    return out if wanted is None else out.where(model == wanted)
+
+
 def bars(counts: DataFrame) -> DataFrame:
     """Counts with a bar's width in percent of the largest, at least 4; labels without count drop out."""
     largest = counts.agg(F.max("n").alias("top"))  # one row

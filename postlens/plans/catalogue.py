@@ -478,6 +478,55 @@ def narrative_levels(spark, d):
     return k.select("source", F.round("s", 4).alias("share"), report.level(F.col("s"), (0.25, 0.5), ("low", "partial", "strong")).alias("level"))
 
 
+@query(f"""SELECT row_id, CASE WHEN coalesce(salary_min, '') NOT IN ('', '0') OR coalesce(salary_max, '') NOT IN ('', '0') THEN 'Disclosed' WHEN {sql_match('description_excerpt', rules.PAY_PHRASE)} THEN 'Mentioned in text' ELSE 'Not disclosed' END AS state FROM sap_jobs""")
+def salary_state_jobs(spark, d):
+    return table(spark, d, "sap_jobs").select("row_id", enrich.salary_state(F.col("salary_min"), F.col("salary_max"), F.col("description_excerpt")).alias("state"))
+
+
+@query("""WITH n AS (SELECT max(ingested_at) AS now FROM sap_jobs) SELECT row_id FROM sap_jobs, n WHERE date_sub('second', ingested_at, now) <= 604800 AND NOT coalesce(regexp_matches(concat_ws(' ', location, title), '(?i)\\bhybrid\\b'), false)
+ AND (coalesce(remote, false) OR coalesce(regexp_matches(concat_ws(' ', location, title), '(?i)\\bremote\\b'), false))""")
+def search_filter_jobs(spark, d):
+    jobs = table(spark, d, "sap_jobs").select("row_id", "location", "title", "remote", "ingested_at")
+    dated = jobs.crossJoin(F.broadcast(jobs.agg(F.max("ingested_at").alias("now"))))  # one row
+    model = enrich.work_model(F.col("location"), F.col("title"), F.col("remote"))
+    return report.search_filter(dated, "past_week_remote", F.col("ingested_at"), F.col("now"), model).select("row_id")
+
+
+@query("SELECT query, replace(CASE WHEN query != 'SAP' THEN regexp_replace(query, '^SAP ', '') END, 'x', 'x') AS keyword, count(*) AS n FROM linkedin_jobs WHERE query IS NOT NULL AND query != 'SAP' GROUP BY query")
+def keyword_labels(spark, d):
+    counts = table(spark, d, "linkedin_jobs").groupBy("query").agg(F.count("*").alias("n"))
+    return counts.withColumn("keyword", report.keyword_label(F.col("query"))).where("keyword IS NOT NULL").select("query", "keyword", "n")
+
+
+@query("SELECT source, count(*) AS n, round(count(*) * 100.0 / (SELECT count(*) FROM sap_jobs), 1)::DOUBLE AS percent, CASE source WHEN 'himalayas' THEN 'Himalayas' WHEN 'remotefirst' THEN 'RemoteFirstJobs' WHEN 'jobicy' THEN 'Jobicy' WHEN 'remotive' THEN 'Remotive' WHEN 'remoteok' THEN 'Remote OK' WHEN 'arbeitnow' THEN 'Arbeitnow' ELSE source END AS label FROM sap_jobs GROUP BY source")
+def percent_sources(spark, d):
+    counts = table(spark, d, "sap_jobs").groupBy("source").agg(F.count("*").alias("n"))
+    joined = counts.crossJoin(F.broadcast(counts.agg(F.sum("n").alias("total"))))  # one row
+    return joined.select("source", "n", report.percent(F.col("n"), F.col("total")).alias("percent"), report.label_of(F.col("source")).alias("label"))
+
+
+@query("""WITH s AS (SELECT last_seen_snapshot AS date, count(*) AS n_jobs FROM linkedin_jobs WHERE last_seen_snapshot IS NOT NULL GROUP BY 1), g AS (SELECT strftime(ts, '%Y-%m-%d') AS date, count(*) AS n_signals, min(event_type) AS signal FROM events GROUP BY 1),
+p AS (SELECT last_seen_snapshot AS date, count(*) AS n_careers FROM company_career_jobs WHERE last_seen_snapshot IS NOT NULL GROUP BY 1)
+SELECT s.date, n_jobs, coalesce(n_signals, 0) AS n_signals, coalesce(signal, '') AS signal, coalesce(n_careers, 0) AS n_careers FROM s LEFT JOIN g ON g.date = s.date LEFT JOIN p ON p.date = s.date""")
+def index_entries_days(spark, d):
+    days = lambda t, n: table(spark, d, t).where("last_seen_snapshot IS NOT NULL").groupBy(F.col("last_seen_snapshot").alias("date")).agg(F.count("*").alias(n))
+    signals = table(spark, d, "events").groupBy(F.date_format("ts", "yyyy-MM-dd").alias("date")).agg(F.count("*").alias("n_signals"), F.min("event_type").alias("signal"))
+    return history.index_entries(days("linkedin_jobs", "n_jobs"), signals, days("company_career_jobs", "n_careers"))
+
+
+@query("SELECT row_id, company, title, source FROM sap_jobs WHERE company IS NOT NULL ORDER BY source, company, title, row_id LIMIT 120")
+def sorted_first_rows(spark, d):
+    return table(spark, d, "sap_jobs").where("company IS NOT NULL").orderBy("source", "company", "title", "row_id").limit(120).select("row_id", "company", "title", "source")
+
+
+@query("""SELECT j.row_id, array_to_string(list_distinct(list_filter([j.worker_id, i.worker_id], lambda w: w IS NOT NULL)), ';') AS workers FROM linkedin_jobs j LEFT JOIN (SELECT linkedin_job_id, min(worker_id) AS worker_id FROM linkedin_incoming GROUP BY 1) i ON i.linkedin_job_id = j.linkedin_job_id WHERE i.worker_id IS NULL OR i.worker_id = j.worker_id""")
+def merged_lists_jobs(spark, d):
+    jobs, i = table(spark, d, "linkedin_jobs"), table(spark, d, "linkedin_incoming").groupBy(F.col("linkedin_job_id").alias("k")).agg(F.min("worker_id").alias("w"))
+    met = jobs.join(i, jobs["linkedin_job_id"] == i["k"], "left").where("w IS NULL OR w = worker_id")
+    lists = merge.merge_lists(F.array_compact(F.array("worker_id")), F.array_compact(F.array("w")))
+    return met.select("row_id", F.array_join(lists, ";").alias("workers"))
+
+
 @query()
 def flagship(spark, d):
     """Skills asked for most in the link pool: deduplicated by posting, filtered, tagged, counted."""

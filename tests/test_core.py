@@ -167,3 +167,19 @@ def test_report(spark):
     assert spark.range(1).select(report.percent(F.lit(1), F.lit(0)).alias("r")).first()["r"] == 0.0
     levels = [spark.range(1).select(report.level(F.lit(x), (0.25, 0.5), ("low", "partial", "strong")).alias("r")).first()["r"] for x in (0.249, 0.25, 0.5)]
     assert levels == ["low", "partial", "strong"]
+
+
+def test_search_filters(spark):
+    assert report.unknown_filters(["all", "nope", "remote", "nope"]) == ["nope"]
+    rows = spark.createDataFrame([(1, "2026-01-08 00:00:00", "remote"), (2, "2026-01-01 00:00:00", "remote"), (3, "2026-01-08 00:00:00", "onsite"), (4, None, "remote")], "i int, at string, m string")
+    at, now = F.col("at").cast("timestamp"), F.lit("2026-01-09 00:00:00").cast("timestamp")
+    kept = lambda name: sorted(r["i"] for r in report.search_filter(rows, name, at, now, F.col("m")).collect())
+    assert (kept("all"), kept("past_week"), kept("remote"), kept("past_week_remote")) == ([1, 2, 3, 4], [1, 3], [1, 2, 4], [1])
+    with pytest.raises(ValueError):
+        report.search_filter(rows, "nope", at, now, F.col("m"))
+
+
+def test_salary_state(spark):
+    state = lambda low, body: spark.createDataFrame([(low, body)], "a string, b string").select(enrich.salary_state(F.col("a"), F.lit(None).cast("string"), F.col("b")).alias("s")).first()["s"]
+    assert state("0", "salary range up to $ 5") == "Mentioned in text"
+    assert (state("0.0", None), state(None, None), state("", "x")) == ("Disclosed", "Not disclosed", "Not disclosed")
