@@ -3,9 +3,10 @@
 A record's content (its posting number, or else the last part of its address) is cut where a
 rolling hash of the last bytes says so, so an edit changes only the chunks around it.  A
 persistent table holds chunk, content and the order of the content's first record.  A batch's
-chunks are joined with it, rare ones only: of each content, the rarest chunks whose bytes exceed
-what may differ (so no pair with the wanted coverage is lost); the shared bytes decide, and for
-addresses an exact comparison of their words follows.  Equal contents are one entry of the table,
+chunks are joined with it, rare ones only.  Contents one word apart share every chunk but those of
+one word; so of each content only the rarest chunks are joined whose bytes exceed its longest word,
+which loses no such pair.  The shared bytes must cover either content but for a word, and an exact
+comparison of the words follows.  Equal contents are one entry of the table,
 so a posting that holds a third of all rows is met once.
 """
 
@@ -21,11 +22,8 @@ from pyspark.sql import functions as F
 
 from postlens.llm.ids import last_part, posting_number
 
-#: Least share of the longer content's bytes that a candidate must have in common.  A pair one word
-#: apart has at least what that word leaves; a word of over half an address could be missed.  A
-#: smaller share costs more candidates: prefixes then hold frequent chunks as well.
-COVERAGE = 0.5
-MIN_CHUNK, MAX_CHUNK, CUT_BITS = 3, 24, 2
+#: Bounds of a chunk in bytes: the least before a rolling cut where hyphens part words and where none does, and the most.
+MIN_CHUNK, MIN_PLAIN, MAX_CHUNK, CUT_BITS = 16, 3, 64, 2
 _HYPHEN = ord("-")
 _GEAR = [xxhash.xxh32_intdigest(bytes([b]), seed=7) for b in range(256)]
 
@@ -34,18 +32,20 @@ def chunks(content: str) -> list[str]:
     """Content-defined chunks: a boundary where the low bits of the gear hash are zero, and after a hyphen.
 
     The low bits depend on the last CUT_BITS bytes only, and a hyphen always cuts, so boundaries come
-    back with the next word at the latest: an edit of one word changes no chunk of the others.
+    back with the next word at the latest: an edit of one word changes no chunk of the others.  Every
+    content ends with a hyphen, so its last word is a chunk like the others.  A content of a single
+    word is cut into smaller chunks and is a chunk as a whole as well.
     """
-    data, out, start, h = content.encode(), [], 0, 0
+    words, data, out, start, h = content.count("-"), (content + "-").encode(), [], 0, 0
+    least = MIN_CHUNK if words else MIN_PLAIN
     for i, byte in enumerate(data):
         h = ((h << 1) + _GEAR[byte]) & 0xFFFFFFFF
         size = i + 1 - start
-        if (size >= MIN_CHUNK and not h & ((1 << CUT_BITS) - 1)) or size >= MAX_CHUNK or byte == _HYPHEN:
+        if byte == _HYPHEN or size >= MAX_CHUNK or (size >= least and not h & ((1 << CUT_BITS) - 1)):
             out.append(data[start : i + 1])
             start, h = i + 1, 0
-    if start < len(data):
-        out.append(data[start:])
-    return [x.decode("utf-8", "replace") for x in out]
+    whole = [] if words or len(out) < 2 else [data]
+    return [x.decode("utf-8", "replace") for x in (*whole, *out)]
 
 
 def _cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,37 +107,41 @@ def _one_word_apart(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([one_word_apart(x, y) for x, y in zip(a, b, strict=True)], dtype=bool)
 
 
-def rare_prefix(table: DataFrame, df: DataFrame, coverage: float) -> DataFrame:
-    """Per content, its chunks from the rarest on until the rest holds less than ``coverage`` of its bytes.
+def rare_prefix(table: DataFrame, df: DataFrame) -> DataFrame:
+    """Per content, its rarest chunks until their bytes exceed its longest word.
 
     A content's chunks are few (its length is bounded by an address), so they are ordered in an array.
     """
+    longest = F.array_max(F.transform(F.split("content", "-"), lambda w: F.octet_length(w))) + 1
+    spare = F.when(F.col("content").contains("-"), longest).otherwise(F.col("total"))
     ranked = (
         table.join(df, "chunk")
         .groupBy("content", "first")
         .agg(F.array_sort(F.collect_list(F.struct("df", "chunk", "n_bytes"))).alias("ranked"), F.sum("n_bytes").alias("total"))
-        .withColumn("bag", F.transform("ranked", lambda y: F.struct(y["chunk"].alias("chunk"), y["n_bytes"].alias("n_bytes"))))
+        .withColumns({"need": F.col("total") - spare, "bag": F.transform("ranked", lambda y: F.struct(y["chunk"].alias("chunk"), y["n_bytes"].alias("n_bytes")))})
     )
     rest = lambda i: F.aggregate(F.slice("ranked", i, F.size("ranked")), F.lit(0), lambda s, y: s + y["n_bytes"])
-    places = F.filter(F.sequence(F.lit(1), F.size("ranked")), lambda i: rest(i) >= F.col("total") * coverage)
-    return ranked.withColumn("chunk", F.explode(F.transform(places, lambda i: F.get(F.col("ranked"), i - 1)["chunk"]))).select("content", "first", "total", "bag", "chunk")
+    places = F.filter(F.sequence(F.lit(1), F.size("ranked")), lambda i: rest(i) >= F.col("need"))
+    return ranked.withColumn("chunk", F.explode(F.transform(places, lambda i: F.get(F.col("ranked"), i - 1)["chunk"]))).select("content", "first", "need", "bag", "chunk")
 
 
-def near_contents(new: DataFrame, index: DataFrame, coverage: float = COVERAGE) -> DataFrame:
-    """``content``, ``other_first``: contents of ``new`` with the order of each different content of
-    ``index`` that covers them enough and is at most one word apart.  Both are chunk tables."""
+def near_contents(new: DataFrame, index: DataFrame) -> DataFrame:
+    """``content``, ``other``, ``other_first``: contents of ``new`` with each different content of ``index``
+    at most one word apart, and the order of its first record.  Both are chunk tables.
+
+    A word misspelt in a content that is one word altogether is found if a chunk of it is left.
+    """
     df = index.groupBy("chunk").agg(F.count("*").alias("df"))
     df = new.select("chunk").distinct().join(df, "chunk", "left").select("chunk", F.coalesce("df", F.lit(0)).alias("df")).unionByName(df).groupBy("chunk").agg(F.max("df").alias("df"))
-    left = rare_prefix(new, df, coverage)
-    right = rare_prefix(index, df, coverage)
+    left, right = rare_prefix(new, df), rare_prefix(index, df)
     met = left.alias("l").join(right.alias("r"), F.col("l.chunk") == F.col("r.chunk")).where("l.content != r.content")
     shared = F.aggregate(F.array_intersect(F.col("l.bag"), F.col("r.bag")), F.lit(0), lambda s, y: s + y["n_bytes"])
-    pairs = met.where(shared >= F.greatest("l.total", "r.total") * coverage).select(F.col("l.content").alias("content"), F.col("r.content").alias("other"), F.col("r.first").alias("other_first")).distinct()
+    pairs = met.where(shared >= F.greatest("l.need", "r.need")).select(F.col("l.content").alias("content"), F.col("r.content").alias("other"), F.col("r.first").alias("other_first")).distinct()
     checked = F.pandas_udf(_one_word_apart, "boolean")
-    return pairs.where(checked("content", "other")).select("content", "other", "other_first")
+    return pairs.where(checked("content", "other"))
 
 
-def known_records(history: DataFrame, incoming: DataFrame, coverage: float = COVERAGE) -> DataFrame:
+def known_records(history: DataFrame, incoming: DataFrame) -> DataFrame:
     """``record``, ``reason`` of incoming records whose posting is in history or an earlier incoming row.
 
     Both inputs come from ``contents``; history has batch -1.  A record without content (neither
@@ -150,7 +154,7 @@ def known_records(history: DataFrame, incoming: DataFrame, coverage: float = COV
     table = chunk_table(firsts)
     arriving = incoming.where("content IS NOT NULL").select("content", "numbered").distinct()
     new = table.join(arriving.where("NOT numbered").select("content"), "content", "left_semi")
-    near = near_contents(new, table, coverage).groupBy("content").agg(F.min("other_first").alias("near_first"))
+    near = near_contents(new, table).groupBy("content").agg(F.min("other_first").alias("near_first"))
     order = F.struct("batch", "record")
     out = incoming.where("content IS NOT NULL").join(firsts.select("content", "first"), "content").join(near, "content", "left")
     exact, close = F.col("first") < order, F.col("near_first") < order
@@ -179,13 +183,13 @@ class ChunkStore:
         made.write.parquet(f"{self.path}/contents/{name}")
         chunk_table(self.spark.read.parquet(f"{self.path}/contents/{name}")).write.parquet(f"{self.path}/chunks/{name}")
 
-    def known(self, batch: DataFrame, coverage: float = COVERAGE) -> DataFrame:
+    def known(self, batch: DataFrame) -> DataFrame:
         """Records of one batch that the store or an earlier record of the batch knows."""
         own = first_records(batch)
         own_table = chunk_table(own)
         index = self.spark.read.parquet(f"{self.path}/chunks/*").select("content", "chunk", "n_bytes", "first").unionByName(own_table.select("content", "chunk", "n_bytes", "first"))
         firsts = self.firsts().unionByName(own).groupBy("content").agg(F.min("first").alias("first"))
-        near = near_contents(own_table, index, coverage).groupBy("content").agg(F.min("other_first").alias("near_first"))
+        near = near_contents(own_table, index).groupBy("content").agg(F.min("other_first").alias("near_first"))
         out = batch.where("content IS NOT NULL").join(firsts, "content").join(near, "content", "left")
         order = F.struct("batch", "record")
         return out.select("record", F.when(F.col("first") < order, F.lit("same content")).when(F.col("near_first") < order, F.lit("one word apart")).alias("reason")).where("reason IS NOT NULL")
