@@ -50,12 +50,14 @@ _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
 def language_of(label: Column) -> Column:
     """The language that a label names, in any usual notation; null if it names none of the known.
 
-    A region or script behind the code or in brackets doesn't matter.
+    A region or script behind the code or in brackets doesn't matter, nor a word before the name.
     """
     first = F.regexp_extract(F.lower(F.trim(label)), r"^([\p{L}]+)", 1)
+    names = F.filter(F.split(F.lower(F.trim(label)), r"[^\p{L}]+"), lambda w: F.length(w) >= 5)
     out = F.lit(None).cast("string")
-    for lang, names in NOTATIONS.items():
-        out = F.when(first.isin(*names.split()), F.lit(lang)).otherwise(out)
+    for lang, spellings in NOTATIONS.items():
+        known = spellings.split()
+        out = F.when(first.isin(*known), F.lit(lang)).when(out.isNull() & F.arrays_overlap(names, F.array(*[F.lit(w) for w in known if len(w) >= 5])), F.lit(lang)).otherwise(out)
     return out
 
 

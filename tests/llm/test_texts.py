@@ -162,7 +162,7 @@ def test_codewords_differ_in_eight_bits():
 
 
 def test_labels(spark):
-    cases = {"en_GB": "en", "German": "de", "deu": "de", "Français": "fr", "pt-BR": "pt", "NL": "nl", "español (México)": "es", "it": None, "xx": None, "": None, "n/a": None, "und": None, None: None}
+    cases = {"en_GB": "en", "German": "de", "deu": "de", "Français": "fr", "pt-BR": "pt", "NL": "nl", "español (México)": "es", "Brazilian Portuguese": "pt", "de-CH-1996": "de", "ENGLISH": "en", "it": None, "xx": None, "": None, "n/a": None, "und": None, None: None}
     df = spark.createDataFrame(list(enumerate(cases)), "i int, l string")
     got = {r["i"]: r["y"] for r in df.select("i", language.language_of(F.col("l")).alias("y")).collect()}
     assert [got[i] for i in range(len(cases))] == list(cases.values())
