@@ -150,6 +150,9 @@ def _verify(n: int, similarity: float):
             a, b, ta, tb = (batch.column(k).to_pylist() for k in range(4))
             rows = []
             for x, y, tx, ty in zip(a, b, ta, tb, strict=True):
+                if x == y:
+                    rows.append((x, y, 1.0))
+                    continue
                 gx, gy = grams(x, tx), grams(y, ty)
                 small, large = sorted((len(gx), len(gy)))
                 if not small or small < similarity * large:
@@ -177,11 +180,12 @@ def similar_texts(rows: DataFrame, text: str, n: int = 5, similarity: float = 0.
     given = rows.where(F.col(text).isNotNull()).select(text_key(F.col(text)).alias("t"), F.col(text).alias("text"))
     nodes = given.mapInArrow(_paths(n, min_words, trees, depth, similarity), "node bigint, t bigint")
     met = nodes.repartition("node").sortWithinPartitions("node", "t").mapInArrow(_below_nodes, "a bigint, b bigint").distinct()
-    once = given.dropDuplicates(["t"])
-    with_b = met.where("a != b").join(once.select(F.col("t").alias("b"), F.col("text").alias("text_b")), "b")
-    with_both = with_b.join(once.select(F.col("t").alias("a"), F.col("text").alias("text_a")), "a")
-    checked = with_both.select("a", "b", "text_a", "text_b").mapInArrow(_verify(n, similarity), "a bigint, b bigint, jaccard double")
-    return checked.unionByName(met.where("a = b").select("a", "b", F.lit(1.0).alias("jaccard")))
+    # (t, t) takes the same way without a text, so that the candidates are worked out once
+    once, other = given.dropDuplicates(["t"]), F.col("a") != F.col("b")
+    side = lambda name: once.select(F.col("t").alias(f"_{name}"), F.col("text").alias(f"text_{name}"))
+    with_b = met.join(side("b"), other & (F.col("b") == F.col("_b")), "left")
+    with_both = with_b.join(side("a"), other & (F.col("a") == F.col("_a")), "left")
+    return with_both.select("a", "b", "text_a", "text_b").mapInArrow(_verify(n, similarity), "a bigint, b bigint, jaccard double")
 
 
 def similar_rows(rows: DataFrame, key: str, text: str, **options) -> DataFrame:
