@@ -521,9 +521,12 @@ def sorted_first_rows(spark, d):
 
 @query("""SELECT j.row_id, array_to_string(list_distinct(list_filter([j.worker_id, i.worker_id], lambda w: w IS NOT NULL)), ';') AS workers FROM linkedin_jobs j LEFT JOIN (SELECT linkedin_job_id, min(worker_id) AS worker_id FROM linkedin_incoming GROUP BY 1) i ON i.linkedin_job_id = j.linkedin_job_id WHERE i.worker_id IS NULL OR i.worker_id = j.worker_id""")
 def merged_lists_jobs(spark, d):
-    jobs, i = table(spark, d, "linkedin_jobs"), table(spark, d, "linkedin_incoming").groupBy(F.col("linkedin_job_id").alias("k")).agg(F.min("worker_id").alias("w"))
-    met = jobs.join(i, jobs["linkedin_job_id"] == i["k"], "left").where("w IS NULL OR w = worker_id")
-    lists = merge.merge_lists(F.array_compact(F.array("worker_id")), F.array_compact(F.array("w")))
+    """Every row's own worker, then those that brought its posting again, as they came; blank ids name no posting."""
+    jobs = table(spark, d, "linkedin_jobs").select("row_id", "linkedin_job_id", "worker_id")
+    came = table(spark, d, "linkedin_incoming").where("trim(linkedin_job_id) != '' AND worker_id IS NOT NULL").groupBy(F.col("linkedin_job_id").alias("k"), F.col("worker_id").alias("w"))
+    i = came.agg(F.min(F.struct("batch_no", "incoming_id")).alias("at")).groupBy("k").agg(F.array_sort(F.collect_list(F.struct("at", "w"))).alias("ws"))
+    met = jobs.join(i, jobs["linkedin_job_id"] == i["k"], "left")
+    lists = merge.merge_lists(F.array_compact(F.array("worker_id")), F.col("ws.w"))
     return met.select("row_id", F.array_join(lists, ";").alias("workers"))
 
 
