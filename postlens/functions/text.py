@@ -106,8 +106,9 @@ def present(c: Column, kind: str = "string") -> Column:
 
 
 def epoch_iso(c: Column) -> Column:
-    """Whole seconds since 1970 as ISO text in UTC; any other text passes through."""
-    seconds = F.when(c.rlike(r"^-?\d+$"), c.try_cast("bigint"))
+    """Whole seconds since 1970 as ISO text in UTC; any other text passes through, also counts beyond the years 1 to 9999."""
+    count = F.when(c.rlike(r"^-?\d+$"), c.try_cast("bigint"))
+    seconds = F.when(count.between(-62135596800, 253402300799), count)
     iso = F.concat(F.date_format(F.date_add(F.lit("1970-01-01").cast("date"), F.floor(seconds / 86400).cast("int")), "yyyy-MM-dd"), F.lit("T"), *_clock(F.pmod(seconds, F.lit(86400))))
     return F.when(seconds.isNotNull(), iso).otherwise(c)
 

@@ -137,8 +137,7 @@ def excerpt_docs(spark, d):
 @query("""SELECT row_id, CASE WHEN regexp_full_match(posted_at, '-?\\d+') AND try_cast(posted_at AS BIGINT) IS NOT NULL AND length(posted_at) <= 11
  THEN strftime(make_timestamp(CAST(posted_at AS BIGINT) * 1000000), '%Y-%m-%dT%H:%M:%S') ELSE posted_at END AS iso FROM sap_jobs WHERE posted_at IS NULL OR length(posted_at) <= 11 OR NOT regexp_full_match(posted_at, '-?\\d+')""")
 def epoch_iso_jobs(spark, d):
-    rows = table(spark, d, "sap_jobs").where("posted_at IS NULL OR length(posted_at) <= 11 OR NOT posted_at RLIKE '^-?[0-9]+$'")
-    return rows.select("row_id", text.epoch_iso(F.col("posted_at")).alias("iso"))
+    return table(spark, d, "sap_jobs").select("row_id", text.epoch_iso(F.col("posted_at")).alias("iso"))
 
 
 @query(f"""WITH s AS (SELECT doc_id, list_filter([{', '.join(f"CASE WHEN {sql_match('x', p)} THEN {q(label)} END" for label, p in rules.SKILLS.items())}], lambda t: t IS NOT NULL) AS v FROM ({_DOC}))

@@ -18,3 +18,13 @@ def test_merged_lists_keep_every_row_and_worker(spark, tmp_path):
         linkedin_incoming=("incoming_id bigint, batch_no int, linkedin_job_id string, worker_id string", incoming),
     )
     assert sorted(got) == [(1, "w1;w9;w4"), (2, "w9;w1;w4"), (3, "w2"), (4, "w3"), (5, "w1"), (6, "")]
+
+
+def test_epoch_iso_gives_every_row(spark, tmp_path):
+    posted = {
+        "1700000000": "2023-11-14T22:13:20", "-1": "1969-12-31T23:59:59", "253402300799": "9999-12-31T23:59:59", "-62135596800": "0001-01-01T00:00:00",
+        "253402300800": "253402300800", "1757965670884": "1757965670884", "1758286995078252": "1758286995078252", "99999999999999999999": "99999999999999999999",
+        "soon": "soon", "": "", None: None,
+    }
+    got = run(spark, tmp_path, "epoch_iso_jobs", sap_jobs=("row_id bigint, posted_at string", list(enumerate(posted))))
+    assert sorted(got) == list(enumerate(posted.values()))
