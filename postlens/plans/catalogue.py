@@ -283,12 +283,15 @@ def split_seen_incoming(spark, d):
  max(last_seen_snapshot) FILTER (WHERE trim(last_seen_snapshot) != '') AS last_seen_snapshot, array_to_string(list_sort(list_distinct(list(worker_id) FILTER (WHERE trim(worker_id) != ''))), '; ') AS workers
 FROM linkedin_jobs WHERE linkedin_job_id IS NOT NULL GROUP BY linkedin_job_id""")
 def merge_shards_jobs(spark, d):
-    cols = ["row_id", "linkedin_job_id", "title", "description", "first_seen_snapshot", "last_seen_snapshot", "worker_id"]
-    rows = table(spark, d, "linkedin_jobs").select(*cols).where("linkedin_job_id IS NOT NULL")
+    """One row per posting; ``linkedin_job_id`` is its key, the stable id where rows have none."""
+    key = dedupe.posting_key(*[F.col(c) for c in ("linkedin_job_id", "title", "company", "location", "url")])
+    cols = ["row_id", "title", "description", "first_seen_snapshot", "last_seen_snapshot", "worker_id"]
+    rows = table(spark, d, "linkedin_jobs").select(key.alias("linkedin_job_id"), *cols)
     made = merge.merge_shards(rows, "linkedin_job_id", ["row_id"], longest="description", least=["first_seen_snapshot"], most=["last_seen_snapshot"], union=["worker_id"])
     return made.select("linkedin_job_id", "title", F.coalesce(F.length(F.trim("description")), F.lit(0)).alias("n_description"), "first_seen_snapshot", "last_seen_snapshot", F.array_join("worker_id", "; ").alias("workers"))
 
 
+
 _SEEN = "SELECT user_id, epoch_us(min(ts)) AS first_us, epoch_us(max(ts)) AS last_us, count(*) AS n_seen FROM events GROUP BY user_id"
 
 

@@ -28,3 +28,15 @@ def test_epoch_iso_gives_every_row(spark, tmp_path):
     }
     got = run(spark, tmp_path, "epoch_iso_jobs", sap_jobs=("row_id bigint, posted_at string", list(enumerate(posted))))
     assert sorted(got) == list(enumerate(posted.values()))
+
+
+def test_merge_shards_merges_every_row_by_posting(spark, tmp_path):
+    rows = [
+        (1, "7", "t", "c", "l", "u", "text", "d2", "d2", "w2"), (2, " 7", "s", "c", "l", "u", "longer text", "d1", "d3", "w1"),
+        (3, None, "A", "c", "l", "u", "x", "d1", "d1", "w3"), (4, "", "a ", "C", "l", "u", None, "d2", "d2", "w1"),
+        (5, "", "b", "c", "l", "u", "y", "d1", "d1", "w1"), (6, " ", "b", "c", "l", "v", None, "d1", "d1", "w1"),
+    ]
+    schema = "row_id bigint, linkedin_job_id string, title string, company string, location string, url string, description string, first_seen_snapshot string, last_seen_snapshot string, worker_id string"
+    got = run(spark, tmp_path, "merge_shards_jobs", linkedin_jobs=(schema, rows))
+    assert sorted(r[1:] for r in got) == [("A", 1, "d1", "d2", "w1; w3"), ("b", 0, "d1", "d1", "w1"), ("b", 1, "d1", "d1", "w1"), ("t", 11, "d1", "d3", "w1; w2")]
+    assert "7" in {r[0] for r in got} and len({r[0] for r in got}) == 4
