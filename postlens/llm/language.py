@@ -73,7 +73,8 @@ def sentences(text: str, title: str | None = None) -> list[tuple[int, int]]:
     """Places (start, end) of the sentences of a text, in order.
 
     A sentence ends with a stop, has at least three words of letters, and isn't the title, in
-    title case throughout, or code.
+    title case throughout, or code.  One whose stop is lost or mistyped has six words or more,
+    four of them in lower case, and no colon at its end as headings have.
     """
     found = []
     norm_title = " ".join(_WORD.findall(title.casefold())) if title else None
@@ -97,9 +98,11 @@ def sentences(text: str, title: str | None = None) -> list[tuple[int, int]]:
 
 
 def _is_sentence(piece: str, words: list[str]) -> bool:
-    if len(words) < 3 or sum(map(len, words)) < 10 or not re.search(r"[.!?…][\"'»”)\s]*$", piece) or _CODE.search(piece):
+    if len(words) < 3 or sum(map(len, words)) < 10 or _CODE.search(piece):
         return False
     small = sum(w[0].islower() for w in words)
+    if not re.search(r"[.!?…][\"'»”)\s]*$", piece):
+        return len(words) >= 6 and small >= 4 and not piece.rstrip().endswith(":")
     return small >= 2 or (len(words) >= 5 and sum(w.isupper() for w in words) >= 0.7 * len(words))
 
 
