@@ -65,7 +65,7 @@ def winners(rows: DataFrame, group: str, row: str, policies: Sequence[Policy], t
     if plain:
         rank = F.lit(None)
         for p in plain:
-            rank = F.when(F.col("field") == p.field, F.struct(*[key[k].cast("bigint").alias(f"k{i}") for i, k in enumerate((*p.rank, *("trust",) * (3 - len(p.rank))))], (-F.col(row)).cast("bigint").alias("last"))).otherwise(rank)
+            rank = F.when(F.col("field") == p.field, F.struct(*[c.cast("bigint").alias(f"k{i}") for i, c in enumerate([*(key[k] for k in p.rank), *[F.lit(0)] * (3 - len(p.rank))])], (-F.col(row)).cast("bigint").alias("last"))).otherwise(rank)
         part = long.where(F.col("field").isin(*[p.field for p in plain])).withColumn("rank", rank)
         out.append(part.groupBy(group, "field").agg(F.max_by(row, "rank").alias(row)))
     if voting:
