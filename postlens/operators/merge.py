@@ -84,10 +84,16 @@ def seen_stamps(rows: DataFrame, key: str, at: str) -> DataFrame:
     return rows.groupBy(key).agg(F.min(at).alias("first_seen"), F.max(at).alias("last_seen"), F.count("*").alias("n_seen"))
 
 
+def listed(c: Column) -> Column:
+    """A text of values parted by ``;`` as a list; null is an empty list."""
+    return F.coalesce(F.split(c, ";"), F.array().cast("array<string>"))
+
+
 def merge_lists(a: Column, b: Column) -> Column:
-    """Distinct union in order of first occurrence; nulls are empty lists."""
+    """Distinct union in order of first occurrence; values are trimmed, nulls are empty lists, empty values none."""
     none = F.array().cast("array<string>")
-    return F.array_distinct(F.concat(F.coalesce(a, none), F.coalesce(b, none)))
+    both = F.transform(F.concat(F.coalesce(a, none), F.coalesce(b, none)), lambda v: F.trim(v))
+    return F.array_distinct(F.filter(both, lambda v: v != ""))
 
 
 def with_details(listed: DataFrame, details: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:

@@ -134,8 +134,8 @@ def excerpt_docs(spark, d):
     return table(spark, d, "documents").select("doc_id", F.md5(text.excerpt(text.html_text(F.col("text")))).alias("h"))
 
 
-@query("""SELECT row_id, CASE WHEN regexp_full_match(posted_at, '-?\\d+') AND try_cast(posted_at AS BIGINT) IS NOT NULL AND length(posted_at) <= 11
- THEN strftime(make_timestamp(CAST(posted_at AS BIGINT) * 1000000), '%Y-%m-%dT%H:%M:%S') ELSE posted_at END AS iso FROM sap_jobs WHERE posted_at IS NULL OR length(posted_at) <= 11 OR NOT regexp_full_match(posted_at, '-?\\d+')""")
+@query("""WITH c AS (SELECT row_id, posted_at, CASE WHEN regexp_full_match(posted_at, '-?\\d+') THEN try_cast(posted_at AS BIGINT) END AS n FROM sap_jobs)
+SELECT row_id, CASE WHEN n BETWEEN -62135596800 AND 253402300799 THEN strftime(make_timestamp(n * 1000000), '%Y-%m-%dT%H:%M:%S') ELSE posted_at END AS iso FROM c""")
 def epoch_iso_jobs(spark, d):
     return table(spark, d, "sap_jobs").select("row_id", text.epoch_iso(F.col("posted_at")).alias("iso"))
 
@@ -279,9 +279,10 @@ def split_seen_incoming(spark, d):
     return seen.agg(F.count("*").alias("n")).select(F.lit("seen").alias("part"), "n").unionByName(new.agg(F.count("*").alias("n")).select(F.lit("new").alias("part"), "n"))
 
 
-@query("""SELECT linkedin_job_id, arg_min(title, row_id) FILTER (WHERE trim(title) != '') AS title, max(length(trim(coalesce(description, '')))) AS n_description, min(first_seen_snapshot) FILTER (WHERE trim(first_seen_snapshot) != '') AS first_seen_snapshot,
+@query(f"""WITH r AS (SELECT *, coalesce(nullif(trim(linkedin_job_id), ''), {sql_stable('title', 'company', 'location', 'url')}) AS key FROM linkedin_jobs)
+SELECT key AS linkedin_job_id, arg_min(title, row_id) FILTER (WHERE trim(title) != '') AS title, max(length(trim(coalesce(description, '')))) AS n_description, min(first_seen_snapshot) FILTER (WHERE trim(first_seen_snapshot) != '') AS first_seen_snapshot,
  max(last_seen_snapshot) FILTER (WHERE trim(last_seen_snapshot) != '') AS last_seen_snapshot, array_to_string(list_sort(list_distinct(list(worker_id) FILTER (WHERE trim(worker_id) != ''))), '; ') AS workers
-FROM linkedin_jobs WHERE linkedin_job_id IS NOT NULL GROUP BY linkedin_job_id""")
+FROM r GROUP BY key""")
 def merge_shards_jobs(spark, d):
     """One row per posting; ``linkedin_job_id`` is its key, the stable id where rows have none."""
     key = dedupe.posting_key(*[F.col(c) for c in ("linkedin_job_id", "title", "company", "location", "url")])
@@ -449,10 +450,10 @@ def history_consolidate(spark, d):
     return history.consolidate(_by_day(spark, d), numbers=["n_events", "n_jobs"], texts=["label"])
 
 
-@query("""WITH c AS (SELECT strftime(o_orderdate, '%Y-%m-%d') AS date, o_orderstatus AS status, count(*) AS n FROM orders GROUP BY 1, 2) SELECT * FROM (SELECT date, status, n, n - lag(n) OVER (PARTITION BY status ORDER BY date) AS growth FROM c) WHERE growth IS NOT NULL""")
+@query("""WITH c AS (SELECT strftime(o_orderdate, '%Y-%m-%d') AS date, o_orderstatus AS status, count(*) AS n FROM orders GROUP BY 1, 2) SELECT date, status, n, n - lag(n) OVER (PARTITION BY status ORDER BY date) AS growth FROM c""")
 def delta_by_day(spark, d):
     counts = table(spark, d, "orders").groupBy(F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"), F.col("o_orderstatus").alias("status")).agg(F.count("*").alias("n"))
-    return history.day_over_day(counts, "date", "n", "status").where("growth IS NOT NULL")
+    return history.day_over_day(counts, "date", "n", "status")
 
 
 @query("""SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN CAST(o_custkey - o_orderkey AS BIGINT) ELSE 0 END AS net_new, CAST(o_custkey - o_orderkey AS BIGINT) AS raw_difference FROM orders""")
@@ -521,7 +522,9 @@ def sorted_first_rows(spark, d):
     return table(spark, d, "sap_jobs").where("company IS NOT NULL").orderBy("source", "company", "title", "row_id").limit(120).select("row_id", "company", "title", "source")
 
 
-@query("""SELECT j.row_id, array_to_string(list_distinct(list_filter([j.worker_id, i.worker_id], lambda w: w IS NOT NULL)), ';') AS workers FROM linkedin_jobs j LEFT JOIN (SELECT linkedin_job_id, min(worker_id) AS worker_id FROM linkedin_incoming GROUP BY 1) i ON i.linkedin_job_id = j.linkedin_job_id WHERE i.worker_id IS NULL OR i.worker_id = j.worker_id""")
+@query("""WITH i AS (SELECT linkedin_job_id AS k, worker_id AS w, min((batch_no, incoming_id)) AS came FROM linkedin_incoming WHERE trim(linkedin_job_id) != '' AND worker_id IS NOT NULL GROUP BY 1, 2),
+l AS (SELECT k, list(w ORDER BY came, w) AS ws FROM i GROUP BY k), u AS (SELECT row_id, list_filter(list_concat([worker_id], ws), lambda w: w IS NOT NULL) AS ws FROM linkedin_jobs LEFT JOIN l ON linkedin_job_id = k)
+SELECT row_id, array_to_string(list_filter(ws, lambda w, n: list_position(ws, w) = n), ';') AS workers FROM u""")
 def merged_lists_jobs(spark, d):
     """Every row's own worker, then those that brought its posting again, as they came; blank ids name no posting."""
     jobs = table(spark, d, "linkedin_jobs").select("row_id", "linkedin_job_id", "worker_id")
