@@ -1,13 +1,25 @@
-"""New batches against all history by content-defined chunks (problem 6).
-
-A record's content (its posting number, or else the last part of its address) is cut where a
-rolling hash of the last bytes says so, so an edit changes only the chunks around it.  A
-persistent table holds chunk, content and the order of the content's first record.  A batch's
-chunks are joined with it, rare ones only.  Contents one word apart share every chunk but those of
-one word; so of each content only the rarest chunks are joined whose bytes exceed its longest word,
-which loses no such pair.  The shared bytes must cover either content but for a word, and an exact
-comparison of the words follows.  Equal contents are one entry of the table,
-so a posting that holds a third of all rows is met once.
+"""New batches against all history by a persistent table of content-defined chunks (problem 6).
+
+A record's content is its posting number or, without one, the last part of its address.  A content
+is cut where a rolling hash of its last bytes says so (words end at hyphens, and so do chunks), and
+each chunk is hashed.  A folder keeps what has been accepted so far:
+
+* ``contents``: each content once, with its first record and its chunk hashes;
+* ``order``: how often each chunk occurred when the history was loaded.  It stays as it is, so that
+  old and new contents rank their chunks alike; a chunk that it lacks counts as the rarest;
+* ``index``: chunk to content, for each content's rarest chunks only.
+
+A batch is checked by joining its own contents and chunks with these tables and then appended to
+them.  No record of the history is read, cut or ranked again, and no history row is shuffled as long
+as the batch is small enough to be broadcast (the optimizer sees its size, as it is written first).
+The history's part of both tables lies in folders by hash; a batch reads only those that it needs.
+
+Contents one word apart share every chunk but those of one word; so of each content only the rarest
+chunks are joined whose bytes exceed its longest word, which loses no such pair.  The shared bytes
+must cover either content but for a word, and an exact comparison of the words follows.  Contents of
+one single word, of which a misspelling may leave no chunk, are met by segments as well: three edits
+leave one of four segments as it was.  Equal contents are one entry, so a posting that holds a third
+of all rows is met once.
 """
 
 from __future__ import annotations
@@ -22,59 +34,93 @@ from pyspark.sql import functions as F
 
 from postlens.llm.ids import last_part, posting_number
 
-#: Bounds of a chunk in bytes: the least before a rolling cut where hyphens part words and where none does, and the most.
-MIN_CHUNK, MIN_PLAIN, MAX_CHUNK, CUT_BITS = 16, 3, 64, 2
+#: Bounds of a chunk in bytes, and the bits of the rolling hash that are zero at a cut.
+MIN_CHUNK, MAX_CHUNK, CUT_BITS = 3, 64, 2
+#: Edits that a misspelt word may have; the batch numbers of the history and of rows without one.
+MOST_EDITS, HISTORY, UNNUMBERED = 3, -(2**31), 2**31 - 1
 _HYPHEN = ord("-")
 _GEAR = [xxhash.xxh32_intdigest(bytes([b]), seed=7) for b in range(256)]
+_CUT = (1 << CUT_BITS) - 1
 
 
-def chunks(content: str) -> list[str]:
+def chunks(content: str) -> list[bytes]:
     """Content-defined chunks: a boundary where the low bits of the gear hash are zero, and after a hyphen.
 
-    The low bits depend on the last CUT_BITS bytes only, and a hyphen always cuts, so boundaries come
-    back with the next word at the latest: an edit of one word changes no chunk of the others.  Every
-    content ends with a hyphen, so its last word is a chunk like the others.  A content of a single
-    word is cut into smaller chunks and is a chunk as a whole as well.
+    The low bits depend on the last CUT_BITS bytes only, so boundaries come back soon after an edit,
+    with the next word at the latest: an edit of one word changes no chunk of the others.  Every
+    content ends with a hyphen, so its last word is cut like the others.
     """
-    words, data, out, start, h = content.count("-"), (content + "-").encode(), [], 0, 0
-    least = MIN_CHUNK if words else MIN_PLAIN
+    data, out, start, h = (content + "-").encode(), [], 0, 0
     for i, byte in enumerate(data):
         h = ((h << 1) + _GEAR[byte]) & 0xFFFFFFFF
         size = i + 1 - start
-        if byte == _HYPHEN or size >= MAX_CHUNK or (size >= least and not h & ((1 << CUT_BITS) - 1)):
+        if byte == _HYPHEN or size >= MAX_CHUNK or (size >= MIN_CHUNK and not h & _CUT):
             out.append(data[start : i + 1])
             start, h = i + 1, 0
-    whole = [] if words or len(out) < 2 else [data]
-    return [x.decode("utf-8", "replace") for x in (*whole, *out)]
+    return out
+
+
+def _key(*parts: object) -> int:
+    h = xxhash.xxh3_64_intdigest(b"\0".join(p if isinstance(p, bytes) else str(p).encode() for p in parts))
+    return h - (1 << 64) if h >> 63 else h
+
+
+def segments(n: int) -> list[tuple[int, int]]:
+    """Places of the four segments of a word of n characters, as even as can be."""
+    k = MOST_EDITS + 1
+    edges = [n * i // k for i in range(k + 1)]
+    return list(zip(edges, edges[1:], strict=False))
+
+
+def stored_keys(word: str) -> list[int]:
+    """Keys under which a single-word content is stored besides its chunks."""
+    return [_key(b"segment", len(word), i, word[a:b]) for i, (a, b) in enumerate(segments(len(word)))]
+
+
+def probe_keys(word: str) -> list[int]:
+    """Keys under which every word within three edits of a single-word content is stored."""
+    out = []
+    for n in range(max(0, len(word) - MOST_EDITS), len(word) + MOST_EDITS + 1):
+        for i, (a, b) in enumerate(segments(n)):
+            out += [_key(b"segment", n, i, word[at : at + b - a]) for at in range(max(0, a - MOST_EDITS), min(len(word) - (b - a), a + MOST_EDITS) + 1)]
+    return list(dict.fromkeys(out))
+
+
+_BAG = pa.list_(pa.struct([("h", pa.int64()), ("n", pa.int32())]))
+_KEYS = pa.list_(pa.int64())
 
 
 def _cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(content, numbered, ...) with the chunk hashes and segment keys of contents that are compared by chunks."""
     for batch in batches:
-        rows = [(c, x, len(x.encode())) for c in batch.column(0).to_pylist() for x in dict.fromkeys(chunks(c))]
-        cols = list(zip(*rows, strict=True)) if rows else [(), (), ()]
-        yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.int32())], ["content", "chunk", "n_bytes"])
+        bags, stored, probes = [], [], []
+        for content, numbered in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            single = not numbered and "-" not in content
+            bags.append([] if numbered else [{"h": _key(b"chunk", c), "n": len(c)} for c in dict.fromkeys(chunks(content))])
+            stored.append(stored_keys(content) if single else [])
+            probes.append(probe_keys(content) if single else [])
+        columns = [*batch.columns, pa.array(bags, _BAG), pa.array(stored, _KEYS), pa.array(probes, _KEYS)]
+        yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "bag", "stored_keys", "probe_keys"])
 
 
 def contents(rows: DataFrame, record: str, batch: Column, job_id: str = "linkedin_job_id", url: str = "url") -> DataFrame:
-    """``record``, ``batch``, ``content``, ``numbered``; content is null where a row has neither number nor address."""
+    """``record``, ``batch``, ``content``, ``numbered``; content is null where a row has neither number nor address.
+
+    A null batch counts as the last one.
+    """
     number = posting_number(F.col(job_id), F.col(url))
     return rows.select(
         F.col(record).cast("bigint").alias("record"),
-        batch.cast("int").alias("batch"),
+        F.coalesce(batch.cast("int"), F.lit(UNNUMBERED)).alias("batch"),
         F.coalesce(F.concat(F.lit("#"), number), last_part(F.col(url))).alias("content"),
         number.isNotNull().alias("numbered"),
     )
 
 
 def first_records(records: DataFrame) -> DataFrame:
-    """One row per content with its earliest (batch, record); history has batch -1."""
-    return records.where("content IS NOT NULL").groupBy("content", "numbered").agg(F.min(F.struct("batch", "record")).alias("first"))
-
-
-def chunk_table(firsts: DataFrame) -> DataFrame:
-    """``chunk``, ``n_bytes``, ``content``, ``first`` of the contents that are compared by chunks."""
-    loose = firsts.where("NOT numbered")
-    return loose.select("content").mapInArrow(_cut_up, "content string, chunk string, n_bytes int").join(loose.select("content", "first"), "content")
+    """``content``, ``numbered``, ``batch``, ``record``: each content of one batch with its earliest record."""
+    found = records.where("content IS NOT NULL").groupBy("content", "numbered", "batch").agg(F.min("record").alias("record"))
+    return found.select("content", "numbered", "batch", "record")
 
 
 def one_word_apart(a: str, b: str) -> bool:
@@ -86,7 +132,7 @@ def one_word_apart(a: str, b: str) -> bool:
         x, y = x[:-1], y[:-1]
     if len(x) + len(y) <= 1:
         return True
-    return len(x) == len(y) == 1 and edits(x[0], y[0], 3) <= 3
+    return len(x) == len(y) == 1 and edits(x[0], y[0], MOST_EDITS) <= MOST_EDITS
 
 
 def edits(a: str, b: str, most: int) -> int:
@@ -107,89 +153,125 @@ def _one_word_apart(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([one_word_apart(x, y) for x, y in zip(a, b, strict=True)], dtype=bool)
 
 
-def rare_prefix(table: DataFrame, df: DataFrame) -> DataFrame:
-    """Per content, its rarest chunks until their bytes exceed its longest word.
-
-    A content's chunks are few (its length is bounded by an address), so they are ordered in an array.
-    """
+def rare_chunks(made: DataFrame, order: DataFrame) -> DataFrame:
+    """Index rows (``h``, ``probe``, ``stored``, ``content``, ``batch``, ``record``, ``need``, ``bag``) of
+    contents with their bags: their rarest chunks until the bytes exceed the longest word, and the
+    segment keys.  A content's chunks are few (its length is bounded by an address), so they are
+    ordered in an array."""
+    loose = made.where("NOT numbered")
+    placed = loose.select("content", F.explode("bag").alias("c")).select("content", "c.h", "c.n")
+    often = order.join(placed.select("h").distinct(), "h")
+    ranked = placed.join(often, "h", "left").groupBy("content").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "h", "n"))).alias("ranked"), F.sum("n").alias("total"))
     longest = F.array_max(F.transform(F.split("content", "-"), lambda w: F.octet_length(w))) + 1
-    spare = F.when(F.col("content").contains("-"), longest).otherwise(F.col("total"))
-    ranked = (
-        table.join(df, "chunk")
-        .groupBy("content", "first")
-        .agg(F.array_sort(F.collect_list(F.struct("df", "chunk", "n_bytes"))).alias("ranked"), F.sum("n_bytes").alias("total"))
-        .withColumns({"need": F.col("total") - spare, "bag": F.transform("ranked", lambda y: F.struct(y["chunk"].alias("chunk"), y["n_bytes"].alias("n_bytes")))})
-    )
-    rest = lambda i: F.aggregate(F.slice("ranked", i, F.size("ranked")), F.lit(0), lambda s, y: s + y["n_bytes"])
-    places = F.filter(F.sequence(F.lit(1), F.size("ranked")), lambda i: rest(i) >= F.col("need"))
-    return ranked.withColumn("chunk", F.explode(F.transform(places, lambda i: F.get(F.col("ranked"), i - 1)["chunk"]))).select("content", "first", "need", "bag", "chunk")
+    measured = ranked.withColumn("need", F.when(F.col("content").contains("-"), F.col("total") - longest).otherwise(0).cast("bigint"))
+    before = lambda i: F.aggregate(F.slice("ranked", 1, i - 1), F.lit(0), lambda s, y: s + y["n"])
+    places = F.filter(F.sequence(F.lit(1), F.size("ranked")), lambda i: before(i) <= F.col("total") - F.col("need"))
+    rare = measured.select("content", "need", F.transform(places, lambda i: F.get(F.col("ranked"), i - 1)["h"]).alias("rare"))
+    key = lambda probe, stored: lambda h: F.struct(h.alias("h"), F.lit(probe).alias("probe"), F.lit(stored).alias("stored"))
+    rows = loose.join(rare, "content").withColumn("k", F.explode(F.concat(F.transform("rare", key(True, True)), F.transform("stored_keys", key(False, True)), F.transform("probe_keys", key(True, False)))))
+    return rows.select("k.h", "k.probe", "k.stored", "content", "batch", "record", "need", "bag")
 
 
 def near_contents(new: DataFrame, index: DataFrame) -> DataFrame:
-    """``content``, ``other``, ``other_first``: contents of ``new`` with each different content of ``index``
-    at most one word apart, and the order of its first record.  Both are chunk tables.
-
-    A word misspelt in a content that is one word altogether is found if a chunk of it is left.
-    """
-    df = index.groupBy("chunk").agg(F.count("*").alias("df"))
-    df = new.select("chunk").distinct().join(df, "chunk", "left").select("chunk", F.coalesce("df", F.lit(0)).alias("df")).unionByName(df).groupBy("chunk").agg(F.max("df").alias("df"))
-    left, right = rare_prefix(new, df), rare_prefix(index, df)
-    met = left.alias("l").join(right.alias("r"), F.col("l.chunk") == F.col("r.chunk")).where("l.content != r.content")
-    shared = F.aggregate(F.array_intersect(F.col("l.bag"), F.col("r.bag")), F.lit(0), lambda s, y: s + y["n_bytes"])
-    pairs = met.where(shared >= F.greatest("l.need", "r.need")).select(F.col("l.content").alias("content"), F.col("r.content").alias("other"), F.col("r.first").alias("other_first")).distinct()
-    checked = F.pandas_udf(_one_word_apart, "boolean")
-    return pairs.where(checked("content", "other"))
+    """``content``, ``other``, ``other_first``: contents of ``new`` with each different content of
+    ``index`` at most one word apart, and the order of its first record.  Both hold index rows."""
+    met = new.where("probe").alias("l").join(index.where("stored").alias("r"), F.col("l.h") == F.col("r.h")).where("l.content != r.content")
+    shared = F.aggregate(F.array_intersect(F.col("l.bag"), F.col("r.bag")), F.lit(0), lambda s, y: s + y["n"])
+    first = F.struct(F.col("r.batch").alias("batch"), F.col("r.record").alias("record"))
+    pairs = met.where(shared >= F.greatest("l.need", "r.need")).select(F.col("l.content").alias("content"), F.col("r.content").alias("other"), first.alias("other_first")).distinct()
+    return pairs.where(F.pandas_udf(_one_word_apart, "boolean")("content", "other"))
 
 
-def known_records(history: DataFrame, incoming: DataFrame) -> DataFrame:
-    """``record``, ``reason`` of incoming records whose posting is in history or an earlier incoming row.
-
-    Both inputs come from ``contents``; history has batch -1.  A record without content (neither
-    number nor address) is never known.  All batches are decided in one pass: an entry counts only
-    if its first record is earlier than the record at hand, which is what batch-by-batch
-    processing with appending gives.
-    """
-    everything = history.unionByName(incoming)
-    firsts = first_records(everything)
-    table = chunk_table(firsts)
-    arriving = incoming.where("content IS NOT NULL").select("content", "numbered").distinct()
-    new = table.join(arriving.where("NOT numbered").select("content"), "content", "left_semi")
-    near = near_contents(new, table).groupBy("content").agg(F.min("other_first").alias("near_first"))
-    order = F.struct("batch", "record")
-    out = incoming.where("content IS NOT NULL").join(firsts.select("content", "first"), "content").join(near, "content", "left")
-    exact, close = F.col("first") < order, F.col("near_first") < order
-    return out.select("record", F.when(exact, F.lit("same content")).when(close, F.lit("one word apart")).alias("reason")).where("reason IS NOT NULL")
+_CONTENTS = "content string, numbered boolean, batch int, record bigint, bag array<struct<h:bigint,n:int>>, stored_keys array<bigint>, probe_keys array<bigint>"
+_INDEX = "h bigint, probe boolean, stored boolean, content string, batch int, record bigint, need bigint, bag array<struct<h:bigint,n:int>>"
 
 
 class ChunkStore:
-    """The persistent chunk table: one Parquet folder per appended batch under one path.
+    """The persistent tables under one path, in folders by batch (``part``) and, for the history, hash (``bucket``).
 
-    Only new contents are appended; a batch is checked without reading old records.
+    ``rows_per_bucket`` bounds the history's rows in a bucket.  A batch that is run again writes its
+    own folders anew and sees only earlier ones, so a restart changes nothing.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
+    def __init__(self, spark: SparkSession, path: str, rows_per_bucket: int = 4_000_000):
+        self.spark, self.path, self.rows_per_bucket = spark, path.rstrip("/"), rows_per_bucket
+
+    def _read(self, name: str, columns: str) -> DataFrame:
+        return self.spark.read.schema(f"{columns}, part int, bucket int").parquet(f"{self.path}/{name}")
+
+    def _buckets(self) -> int:
+        return self.spark.read.parquet(f"{self.path}/size").first()["n_buckets"]
+
+    def _earlier(self, name: str, columns: str, number: int, keys: DataFrame, key: Column) -> DataFrame:
+        """Rows of the folders before a batch, of the history only the buckets in which ``keys`` fall (their list is as long as there are buckets at most)."""
+        table, n = self._read(name, columns).where(F.col("part") < number), self._buckets()
+        if n == 1:
+            return table
+        wanted = [r[0] for r in keys.select(F.pmod(key, F.lit(n)).cast("int").alias("b")).distinct().collect()]
+        return table.where((F.col("part") != HISTORY) | F.col("bucket").isin(wanted))
+
+    def load(self, history: DataFrame) -> None:
+        """Start the tables with the records of the history (from ``contents``)."""
+        made = first_records(history.withColumn("batch", F.lit(HISTORY))).mapInArrow(_cut_up, _CONTENTS)
+        made.write.mode("overwrite").parquet(f"{self.path}/loaded")
+        made = self.spark.read.schema(_CONTENTS).parquet(f"{self.path}/loaded")
+        n = max(1, -(-made.count() // self.rows_per_bucket))
+        self.spark.range(1).select(F.lit(n).alias("n_buckets")).write.mode("overwrite").parquet(f"{self.path}/size")
+        self._spread(made, "contents", F.xxhash64("content"), n)
+        made.select(F.explode("bag.h").alias("h")).groupBy("h").agg(F.count("*").alias("df")).write.mode("overwrite").parquet(f"{self.path}/order")
+        self._spread(rare_chunks(made, self._order()).where("stored"), "index", F.col("h"), n)
+
+    def _spread(self, rows: DataFrame, name: str, key: Column, n: int) -> None:
+        placed = rows.withColumn("bucket", F.pmod(key, F.lit(n)).cast("int"))
+        if n > 1:
+            placed = placed.repartition(F.col("bucket"))
+        placed.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/{name}/part={HISTORY}")
+
+    def _order(self) -> DataFrame:
+        return self.spark.read.schema("h bigint, df bigint").parquet(f"{self.path}/order")
+
+    def append(self, number: int, batch: DataFrame) -> None:
+        """Add the contents of a batch that the store doesn't have, with their index rows."""
+        own = first_records(batch)
+        met = self._earlier("contents", _CONTENTS, number, own, F.xxhash64("content")).select("content").join(own.select("content"), "content").distinct()
+        here = f"part={number}/bucket=-1"
+        own.join(met, "content", "left_anti").mapInArrow(_cut_up, _CONTENTS).write.mode("overwrite").parquet(f"{self.path}/contents/{here}")
+        new = self.spark.read.schema(_CONTENTS).parquet(f"{self.path}/contents/{here}")
+        rare_chunks(new, self._order()).write.mode("overwrite").parquet(f"{self.path}/index/{here}")
+
+    def check(self, number: int, batch: DataFrame) -> DataFrame:
+        """``record``, ``reason`` of the records of an appended batch that the store knew before them.
+
+        Records of the batch itself count where they are earlier; so does a content that was itself
+        near an older one, which is why every new content is appended, not the accepted ones only.
+        """
+        own = first_records(batch).select("content")
+        new = self.spark.read.schema(_INDEX).parquet(f"{self.path}/index/part={number}/bucket=-1")
+        older = self._earlier("index", _INDEX, number, new.where("probe"), F.col("h")).drop("part", "bucket")
+        near = near_contents(new, older.unionByName(new)).groupBy("content").agg(F.min("other_first").alias("near_first"))
+        added = self._read("contents", _CONTENTS).where((F.col("part") == number) & (F.col("bucket") == -1))
+        stored = self._earlier("contents", _CONTENTS, number, own, F.xxhash64("content")).unionByName(added)
+        firsts = stored.select("content", F.struct("batch", "record").alias("first")).join(own, "content")
+        order = F.struct("batch", "record")
+        out = batch.where("content IS NOT NULL").join(firsts, "content").join(near, "content", "left")
+        reason = F.when(F.col("first") < order, F.lit("same content")).when(F.col("near_first") < order, F.lit("one word apart"))
+        return out.select("record", reason.alias("reason")).where("reason IS NOT NULL")
 
-    def firsts(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/contents/*")
 
-    def append(self, records: DataFrame, name: str) -> None:
-        made = first_records(records)
-        try:
-            made = made.join(self.firsts().select("content"), "content", "left_anti")
-        except Exception as e:  # the first batch finds no folder
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-        made.write.parquet(f"{self.path}/contents/{name}")
-        chunk_table(self.spark.read.parquet(f"{self.path}/contents/{name}")).write.parquet(f"{self.path}/chunks/{name}")
+def known_records(store: ChunkStore, history: DataFrame, incoming: DataFrame) -> DataFrame:
+    """``record``, ``reason`` of incoming records whose posting is in history or an earlier incoming row.
 
-    def known(self, batch: DataFrame) -> DataFrame:
-        """Records of one batch that the store or an earlier record of the batch knows."""
-        own = first_records(batch)
-        own_table = chunk_table(own)
-        index = self.spark.read.parquet(f"{self.path}/chunks/*").select("content", "chunk", "n_bytes", "first").unionByName(own_table.select("content", "chunk", "n_bytes", "first"))
-        firsts = self.firsts().unionByName(own).groupBy("content").agg(F.min("first").alias("first"))
-        near = near_contents(own_table, index).groupBy("content").agg(F.min("other_first").alias("near_first"))
-        out = batch.where("content IS NOT NULL").join(firsts, "content").join(near, "content", "left")
-        order = F.struct("batch", "record")
-        return out.select("record", F.when(F.col("first") < order, F.lit("same content")).when(F.col("near_first") < order, F.lit("one word apart")).alias("reason")).where("reason IS NOT NULL")
+    Both inputs come from ``contents``.  The store is loaded with the history; then batch after batch
+    is appended and checked, in the order of their numbers (one small job each; their numbers are
+    the loop's only data on the driver).  A record without content (neither number nor address) is
+    never known.  Repeated records each have their row; without batches the result is empty.
+    """
+    store.load(history)
+    numbers = sorted(r[0] for r in incoming.select("batch").distinct().collect())
+    for number in numbers:
+        batch = incoming.where(F.col("batch") == number)
+        store.append(number, batch)
+        store.check(number, batch).write.mode("overwrite").parquet(f"{store.path}/known/part={number}")
+    if not numbers:
+        return incoming.select("record", F.lit("").alias("reason"))
+    return store.spark.read.schema("record bigint, reason string").parquet(*[f"{store.path}/known/part={n}" for n in numbers])

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postlens.llm import canon, encode, incremental, language, mixing, neardup, records, survivor
 from postlens.llm.ids import posting_number
 from postlens.plans.training import job_instants
-from postlens.session import table
+from postlens.session import shared_folder, table
 
 #: p3_found's notion of a near-duplicate (TESTDATA.md): word triples, Jaccard 0.7, 30 words.
 P3 = {"n": 3, "similarity": 0.7, "min_words": 30}
@@ -98,21 +100,27 @@ def p5_unmatched(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _history(spark: SparkSession, d: str) -> DataFrame:
-    return incremental.contents(table(spark, d, "linkedin_jobs"), "row_id", F.lit(-1))
+    return incremental.contents(table(spark, d, "linkedin_jobs"), "row_id", F.lit(incremental.HISTORY))
 
 
 def _incoming(spark: SparkSession, d: str) -> DataFrame:
     return incremental.contents(table(spark, d, "linkedin_incoming"), "incoming_id", F.col("batch_no"))
 
 
+def _known(spark: SparkSession, d: str) -> DataFrame:
+    """Incoming rows that are known, by a chunk store that is filled from linkedin_jobs and takes batch after batch."""
+    store = incremental.ChunkStore(spark, f"{shared_folder(spark).rstrip('/')}/chunks-{uuid.uuid4().hex}")
+    return incremental.known_records(store, _history(spark, d), _incoming(spark, d))
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     """Incoming rows whose posting linkedin_jobs or an earlier incoming row has."""
-    return incremental.known_records(_history(spark, d), _incoming(spark, d)).select(F.col("record").alias("incoming_id"))
+    return _known(spark, d).select(F.col("record").alias("incoming_id"))
 
 
 def p6_reasons(spark: SparkSession, d: str) -> DataFrame:
     """Known incoming rows by batch and reason, and the rows that are new."""
-    known = incremental.known_records(_history(spark, d), _incoming(spark, d))
+    known = _known(spark, d)
     rows = table(spark, d, "linkedin_incoming").select("incoming_id", "batch_no")
     joined = rows.join(known, rows["incoming_id"] == known["record"], "left")
     return joined.groupBy("batch_no", F.coalesce("reason", F.lit("new")).alias("outcome")).agg(F.count("*").alias("n_rows"))
