@@ -1,24 +1,24 @@
 """Mapping of typed values to a reference list by a prefix-filter set-similarity join (problem 5).
 
-Strings are compared as sets of letters and letter pairs.  Their elements are put in one global
-order, the rarest in the reference list first; two sets that are similar enough share an element
-of their first, rare part, so only those prefixes are joined.  The length filter and the
-positional filter drop most candidates, the Jaccard similarity of the rest is worked out exactly.
+Strings are compared as sets, of letter pairs and letters or, for abbreviations, of consonants.
+Their elements are put in one global order, the rarest in the reference list first; two sets that
+are similar enough share an element of their first, rare part, so only those prefixes are joined.
+The length filter and the positional filter drop most candidates, the Jaccard similarity of the rest
+is worked out exactly.
 
 A location is cut into pieces at its separators, and pieces and neighbouring pieces are joined with
-the names of places; a title is cut into words, and the words are joined with the words of the
-listed titles.  What a value means as a whole is decided from these matches, each of which must
-also stand an exact check (a misspelling of a letter or two, or an abbreviation).  Only distinct
-pieces and words are compared, however many rows hold them.
+the names of places; a title is cut into words, the words are joined with the words of the listed
+titles, and the title as a whole with their names.  Values that are cut into the same pieces or words
+are decided once, from these matches only: each must stand an exact check (a misspelling of a
+letter or two, or an abbreviation), then the fewest edits win, then the highest similarity.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
-from itertools import product
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -54,6 +54,17 @@ def grams(text: str) -> list[str]:
     return sorted(pairs) + out
 
 
+def skeleton(text: str) -> list[str]:
+    """Set of the first letter and the numbered consonants behind it: what an abbreviation keeps."""
+    seen: dict[str, int] = {}
+    out = [f"^{text[:1]}"]
+    for c in text[1:]:
+        if c not in "aeiouy":
+            seen[c] = seen.get(c, 0) + 1
+            out.append(f"{c}{seen[c]}")
+    return out
+
+
 def title_words(text: str) -> list[str]:
     """Words of a title without additions and numbers."""
     text = fold(text)
@@ -129,38 +140,40 @@ def word_distance(typed: str, word: str) -> int | None:
 # --- the join -------------------------------------------------------------------------------
 
 
-def _gram_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([grams(x) for x in batch.column(0).to_pylist()], pa.list_(pa.string()))], ["s", "g"])
+def _set_rows(elements: Callable[[str], list[str]]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([elements(x) for x in batch.column(0).to_pylist()], pa.list_(pa.string()))], ["s", "g"])
+
+    return run
 
 
-def _prefixes(strings: DataFrame, rarity: DataFrame, similarity: float) -> DataFrame:
-    """Each string with its ordered grams and one row per gram of the prefix; strings have one row each."""
-    sets = strings.mapInArrow(_gram_rows, "s string, g array<string>")
+def _prefixes(sets: DataFrame, rarity: DataFrame, similarity: float) -> DataFrame:
+    """Each string with its ordered elements and one row per element of the prefix; strings have one row each."""
     placed = sets.select("s", F.explode("g").alias("gram")).join(rarity, "gram", "left")
     ordered = placed.groupBy("s").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "gram"))).alias("o")).select("s", F.transform("o", lambda x: x["gram"]).alias("g"))
     n = F.size("g")
-    prefix = F.slice("g", 1, (n - F.ceil(n * similarity) + 1).cast("int"))
+    prefix = F.slice("g", 1, (n - F.ceil(n * similarity - 1e-9) + 1).cast("int"))
     return ordered.select("s", "g", F.posexplode(prefix).alias("at", "gram"))
 
 
-def similar_strings(left: DataFrame, right: DataFrame, similarity: float) -> DataFrame:
+def similar_strings(left: DataFrame, right: DataFrame, similarity: float, elements: Callable[[str], list[str]] = grams) -> DataFrame:
     """``left``, ``right``, ``jaccard`` of all pairs of the distinct strings in column ``s`` at or above the similarity.
 
-    The order follows the right side (the reference list): its rarest grams first, grams that it
-    lacks before all.  Null and empty strings match nothing.
+    ``elements`` makes the sets.  The order follows the right side (the reference list): its rarest
+    elements first, elements that it lacks before all.  Null and empty strings match nothing.
     """
-    a, b = (side.where("s IS NOT NULL AND s != ''").select("s").distinct() for side in (left, right))
-    rarity = b.mapInArrow(_gram_rows, "s string, g array<string>").select(F.explode("g").alias("gram")).groupBy("gram").agg(F.count("*").alias("df"))
+    a, b = (side.where("s IS NOT NULL AND s != ''").select("s").distinct().mapInArrow(_set_rows(elements), "s string, g array<string>") for side in (left, right))
+    rarity = b.select(F.explode("g").alias("gram")).groupBy("gram").agg(F.count("*").alias("df"))
     pa_, pb = _prefixes(a, rarity, similarity).alias("a"), _prefixes(b, rarity, similarity).alias("b")
     na, nb = F.size("a.g"), F.size("b.g")
     need = F.ceil((na + nb) * (similarity / (1 + similarity)) - 1e-9)
     met = pa_.join(pb, F.col("a.gram") == F.col("b.gram"))
-    kept = met.where((nb >= na * similarity) & (na >= nb * similarity) & (1 + F.least(na - F.col("a.at") - 1, nb - F.col("b.at") - 1) + F.least("a.at", "b.at") >= need))
+    kept = met.where((nb >= na * similarity - 1e-9) & (na >= nb * similarity - 1e-9) & (1 + F.least(na - F.col("a.at") - 1, nb - F.col("b.at") - 1) + F.least("a.at", "b.at") >= need))
     pairs = kept.select(F.col("a.s").alias("left"), F.col("b.s").alias("right"), F.col("a.g").alias("ga"), F.col("b.g").alias("gb")).dropDuplicates(["left", "right"])
     shared = F.size(F.array_intersect("ga", "gb"))
     jaccard = shared / (F.size("ga") + F.size("gb") - shared)
-    return pairs.select("left", "right", jaccard.alias("jaccard")).where(F.col("jaccard") >= similarity)
+    return pairs.select("left", "right", jaccard.alias("jaccard")).where(F.col("jaccard") >= similarity - 1e-9)
 
 
 # --- meaning --------------------------------------------------------------------------------
@@ -189,160 +202,233 @@ def title_entries(rows: list) -> list[Entry]:
     return [Entry(r["ref_id"], tuple(dict.fromkeys(" ".join(title_words(n)) for n in [r["name"], *(r["alt_names"] or [])]))) for r in rows]
 
 
-def places_meant(value: str, similar: dict[str, list[tuple[str, float]]], entries: list[Entry]) -> list[int]:
-    """Entries that a location names: its cities, else its countries, else its regions; [-1] for none.
+class Places:
+    """Decides what a location's pieces mean; holds the entries by name."""
+
+    def __init__(self, entries: Sequence[Entry]):
+        self.by_name: dict[str, list[Entry]] = {}
+        for e in entries:
+            for n in e.names:
+                self.by_name.setdefault(n, []).append(e)
+
+    def names(self) -> list[str]:
+        return sorted(self.by_name)
+
+    def meant(self, pieces: list[str], similar: dict[str, list[tuple[str, float]]]) -> list[int]:
+        """Entries that a location names: its cities, else its countries, else its regions; [-1] for none.
+
+        ``similar`` gives the names similar to each span with their similarity.  Longer spans win, then
+        fewer edits, then the higher similarity.  A city's name that several countries have is decided
+        by a country named beside it; without one it means no entry.
+        """
+        options = []
+        for i, j, text in spans(pieces):
+            found = []
+            for name, jaccard in similar.get(text, []):
+                d = place_distance(text, name)
+                if d is not None:
+                    found.append((d, -jaccard, name))
+            if found:
+                found.sort()
+                options.append((-(j - i), found[0][0], found[0][1], i, j, [n for d, _, n in found if d == found[0][0]]))
+        # a span is no misspelling of a name that it holds in full beside other pieces
+        exact = {o[3] for o in options if o[0] == -1 and o[1] == 0}
+        options = [o for o in options if o[0] == -1 or o[1] == 0 or not exact & set(range(o[3], o[4]))]
+        taken, matched = set(), []
+        for _, d, _, i, j, names in sorted(options, key=lambda o: (o[0], o[1], o[2], o[3])):
+            if not taken & set(range(i, j)):
+                taken |= set(range(i, j))
+                matched.append((i, d, names))
+        hits = [(i, [e for n in names for e in self.by_name[n]], names) for i, _, names in sorted(matched)]
+        countries = {e.country or e.names[0] for _, es, _ in hits for e in es if e.kind == "country"}
+        cities: list[int] = []
+        for _, es, names in hits:
+            mine = [e for e in es if e.kind == "city"]
+            if not mine or any(e.kind == "country" for e in es if e.names and names[0] in e.names):
+                continue
+            fitting = [e for e in mine if e.country in countries] or mine
+            first = [e for e in fitting if names[0] in e.names] if len({e.ref_id for e in fitting}) > 1 else fitting
+            fitting = first or fitting
+            if len({e.ref_id for e in fitting}) == 1 and fitting[0].ref_id not in cities:
+                cities.append(fitting[0].ref_id)
+        if cities:
+            return cities
+        for kind in ("country", "region"):
+            ids = list(dict.fromkeys(next(e.ref_id for e in es if e.kind == kind) for _, es, _ in hits if any(e.kind == kind for e in es)))
+            if ids:
+                return ids
+        return [-1]
+
 
-    ``similar`` gives the names similar to each span with their similarity.  Longer spans win, then
-    fewer edits, then the higher similarity.  A city's name that several countries have is decided
-    by a country named beside it; without one it means no entry.
-    """
-    by_name: dict[str, list[Entry]] = {}
-    for e in entries:
-        for n in e.names:
-            by_name.setdefault(n, []).append(e)
-    pieces = place_pieces(value)
-    options = []
-    for i, j, text in spans(pieces):
-        found = []
-        for name, jaccard in similar.get(text, []):
-            d = place_distance(text, name)
-            if d is not None:
-                found.append((d, -jaccard, name))
-        if found:
-            found.sort()
-            options.append((-(j - i), found[0][0], found[0][1], i, j, [n for d, _, n in found if d == found[0][0]]))
-    # a span is no misspelling of a name that it holds in full beside other pieces
-    exact = {o[3] for o in options if o[0] == -1 and o[1] == 0}
-    options = [o for o in options if o[0] == -1 or o[1] == 0 or not exact & set(range(o[3], o[4]))]
-    taken, matched = set(), []
-    for _, d, _, i, j, names in sorted(options, key=lambda o: (o[0], o[1], o[2], o[3])):
-        if not taken & set(range(i, j)):
-            taken |= set(range(i, j))
-            matched.append((i, d, names))
-    hits = [(i, [e for n in names for e in by_name[n]], names) for i, _, names in sorted(matched)]
-    countries = {e.country or e.names[0] for _, es, _ in hits for e in es if e.kind == "country"}
-    cities: list[int] = []
-    for _, es, names in hits:
-        mine = [e for e in es if e.kind == "city"]
-        if not mine or any(e.kind == "country" for e in es if e.names and names[0] in e.names):
-            continue
-        fitting = [e for e in mine if e.country in countries] or mine
-        first = [e for e in fitting if names[0] in e.names] if len({e.ref_id for e in fitting}) > 1 else fitting
-        fitting = first or fitting
-        if len({e.ref_id for e in fitting}) == 1 and fitting[0].ref_id not in cities:
-            cities.append(fitting[0].ref_id)
-    if cities:
-        return cities
-    for kind in ("country", "region"):
-        ids = list(dict.fromkeys(next(e.ref_id for e in es if e.kind == kind) for _, es, _ in hits if any(e.kind == kind for e in es)))
-        if ids:
-            return ids
-    return [-1]
-
-
-def title_meant(value: str, similar: dict[str, list[tuple[str, float]]], entries: list[Entry]) -> list[int]:
-    """The entry with the same words as a title, additions aside; [-1] for none.
-
-    Every word of the value must match a word of the entry's name and the other way round; of
-    several entries the one with the fewest edits wins, then the highest similarity.
+#: Marks a title as a whole, its words joined, among the strings of a title.
+WHOLE = "="
+
+
+class Titles:
+    """Decides what a title's words mean; holds the names by word and by all their letters."""
+
+    def __init__(self, entries: Sequence[Entry]):
+        self.all = [(e.ref_id, n.split()) for e in entries for n in e.names]
+        self.by_word: dict[str, list[int]] = {}
+        self.by_letters: dict[str, list[int]] = {}
+        for k, (_, words) in enumerate(self.all):
+            self.by_letters.setdefault("".join(words), []).append(k)
+            for w in set(words):
+                self.by_word.setdefault(w, []).append(k)
+
+    def words(self) -> list[str]:
+        return sorted(self.by_word)
+
+    def letters(self) -> list[str]:
+        return sorted(self.by_letters)
+
+    def meant(self, typed: list[str], similar: dict[str, list[tuple[str, float]]]) -> list[int]:
+        """The entry with the same words as a title, additions aside; [-1] for none.
+
+        Every word of the value must match a word of the entry's name and the other way round; a name
+        with a word more or less may have the same letters but for one.  Only names that hold a
+        match of every word, or that are similar as a whole, are looked at; of several entries the
+        one with the fewest edits wins, then the highest similarity, then the smallest id.
+        """
+        options = [{n: (d, -j) for n, j in similar.get(w, []) if (d := word_distance(w, n)) is not None} for w in typed]
+        best: tuple | None = None
+        if typed and all(options):
+            for k in set.intersection(*({k for n in o for k in self.by_word[n]} for o in options)):
+                ref, words = self.all[k]
+                cost = assign(options, words) if len(words) == len(typed) else None
+                if cost is not None and (best is None or (*cost, ref) < best):
+                    best = (*cost, ref)
+        a = "".join(typed)
+        for b, _ in similar.get(WHOLE + a, []):
+            if min(len(a), len(b)) >= 8 and (d := osa(a, b)) <= 1:
+                for ref, words in (self.all[k] for k in self.by_letters[b]):
+                    if abs(len(words) - len(typed)) == 1 and (best is None or (d, 0.0, ref) < best):
+                        best = (d, 0.0, ref)
+        return [best[2]] if best and best[0] <= 2 else [-1]
+
+
+def assign(options: list[dict[str, tuple[int, float]]], words: list[str]) -> tuple[int, float] | None:
+    """Least (edits, minus similarity) of a one-to-one assignment of typed words to a name's words; null if there is none.
+
+    The typed words are placed one by one; of all ways to use the same words of the name only the
+    best is kept, so the work is bounded by the name's words.
     """
-    typed = title_words(value)
-    if not typed:
-        return [-1]
-    options: list[dict[str, tuple[int, float]]] = []
-    for w in typed:
-        options.append({n: (d, -j) for n, j in similar.get(w, []) if (d := word_distance(w, n)) is not None})
-    best: tuple | None = None
-    for e in entries:
-        for name in e.names:
-            words = name.split()
-            if len(words) == len(typed):
-                cost = _assign(options, words)
-            else:
-                a, b = "".join(typed), "".join(words)
-                cost = (osa(a, b), 0.0) if abs(len(words) - len(typed)) == 1 and min(len(a), len(b)) >= 8 and osa(a, b) <= 1 else None
-            if cost is not None and (best is None or (*cost, e.ref_id) < best):
-                best = (*cost, e.ref_id)
-    return [best[2]] if best and best[0] <= 2 else [-1]
-
-
-def _assign(options: list[dict[str, tuple[int, float]]], words: list[str]) -> tuple[int, float] | None:
-    """Least edits of a one-to-one assignment of typed words to a name's words; null if there is none."""
-    choices = [[w for w in words if w in o] for o in options]
-    if not all(choices):
-        return None
-    best = None
-    for pick in product(*choices):
-        if len(set(pick)) == len(words):
-            cost = (sum(o[w][0] for o, w in zip(options, pick, strict=True)), sum(o[w][1] for o, w in zip(options, pick, strict=True)))
-            best = cost if best is None or cost < best else best
-    return best
+    ways = {0: (0, 0.0)}
+    for o in options:
+        after: dict[int, tuple[int, float]] = {}
+        for used, (d, j) in ways.items():
+            for k, w in enumerate(words):
+                if w in o and not used >> k & 1:
+                    cost, now = (d + o[w][0], j + o[w][1]), used | 1 << k
+                    if now not in after or cost < after[now]:
+                        after[now] = cost
+        ways = after
+    return min(ways.values()) if ways else None
+
+
+#: Least similarity in the joins: of misspelt places and words (one edit in three letters), of
+#: abbreviations by their consonants, of titles written with other gaps between their words.
+PLACE_SIMILARITY, WORD_SIMILARITY, ABBREVIATION_SIMILARITY, TITLE_SIMILARITY = 0.4, 0.4, 1 / 3, 0.7
+#: Between the pieces or words of a value.
+_GAP = "\x1f"
+
+
+def _cutter(cut_up: Callable[[str], list[str]]):
+    """(value) to (value, core): the pieces that decide what the value means."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([_GAP.join(cut_up(v)) for v in batch.column(0).to_pylist()], pa.string())], ["value", "core"])
+
+    return run
+
+
+def _place_strings(core: str) -> list[str]:
+    return [t for _, _, t in spans(core.split(_GAP))] if core else []
+
+
+def _title_strings(core: str) -> list[str]:
+    typed = core.split(_GAP) if core else []
+    return [*typed, WHOLE + "".join(typed)] if typed else []
 
-#: Least Jaccard similarity of the join: of a misspelt short place name, of an abbreviated word.
-PLACE_SIMILARITY, WORD_SIMILARITY = 0.4, 0.2
 
+def _lister(strings: Callable[[str], list[str]]):
+    """(core) to (core, s): the strings that are joined with the reference list, one empty one if there is none."""
 
-def _cutter(cut_up):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(v, p) for v in batch.column(0).to_pylist() for p in (dict.fromkeys(cut_up(v)) or [""])]
+            rows = [(c, p) for c in batch.column(0).to_pylist() for p in (dict.fromkeys(strings(c)) or [""])]
             cols = list(zip(*rows, strict=True)) if rows else [(), ()]
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string())], ["value", "s"])
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string())], ["core", "s"])
 
     return run
 
 
-def _decider(meant, entries: list[Entry]):
+def _decider(decide: Places | Titles):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values, ids = [], []
-            for value, similar in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            cores, ids = [], []
+            for core, similar in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 known: dict[str, list[tuple[str, float]]] = {}
                 for x in similar or []:
                     known.setdefault(x["s"], []).append((x["right"], x["jaccard"]))
-                for ref in meant(value, known, entries):
-                    values.append(value)
+                for ref in decide.meant(core.split(_GAP) if core else [], known):
+                    cores.append(core)
                     ids.append(ref)
-            yield pa.RecordBatch.from_arrays([pa.array(values, pa.string()), pa.array(ids, pa.int64())], ["value", "ref_id"])
+            yield pa.RecordBatch.from_arrays([pa.array(cores, pa.string()), pa.array(ids, pa.int64())], ["core", "ref_id"])
 
     return run
 
 
-def _map_values(values: DataFrame, entries: list[Entry], cut_up, meant, similarity: float) -> DataFrame:
-    """``value``, ``ref_id`` of distinct values."""
-    spark = values.sparkSession
-    names = spark.createDataFrame([(w,) for w in sorted({p for e in entries for n in e.names for p in ([n] if meant is places_meant else n.split())})], "s string")
-    parts = values.mapInArrow(_cutter(cut_up), "value string, s string")
-    links = similar_strings(parts.select("s"), names, similarity)
-    met = parts.join(links, parts["s"] == links["left"], "left")
-    gathered = met.groupBy("value").agg(F.collect_list(F.when(F.col("right").isNotNull(), F.struct("s", "right", "jaccard"))).alias("similar"))
-    return gathered.mapInArrow(_decider(meant, entries), "value string, ref_id bigint")
+def _blank(c: Column) -> Column:
+    return F.regexp_replace(c, r"(?U)[\s​﻿]+", "") == ""
 
 
-def _span_texts(value: str) -> list[str]:
-    return [t for _, _, t in spans(place_pieces(value))]
+def _listed(reference: DataFrame, most: int) -> list:
+    rows = reference.limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"the reference list has more than {most} entries")
+    return rows
 
 
-def _blank(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?U)[\s​﻿]+", "") == ""
+def _strings(reference: DataFrame, values: list[str]) -> DataFrame:
+    return reference.sparkSession.createDataFrame([(v,) for v in values], "s string")
 
 
-def map_places(rows: DataFrame, key: str, column: str, reference: DataFrame) -> DataFrame:
+def map_places(rows: DataFrame, key: str, column: str, reference: DataFrame, most: int = 100_000) -> DataFrame:
     """``key``, ``ref_id``: one row per place that a non-blank value names, -1 if it names none.
 
-    Null and blank values have no row; repeated rows each have theirs.  ``reference`` is a list of
-    fixed size (ref_id, name, country, country_code, kind, alt_names); it is read to the driver.
+    Null and blank values have no row; repeated rows each have theirs.  ``reference`` is a list
+    (ref_id, name, country, country_code, kind, alt_names) of at most ``most`` entries, more are an
+    error; it is read to the driver for the decision and joined as a table.
     """
-    return _mapped(rows, key, column, place_entries(reference.collect()), _span_texts, places_meant, PLACE_SIMILARITY)
+    places = Places(place_entries(_listed(reference, most)))
+    link = lambda s: similar_strings(s, _strings(reference, places.names()), PLACE_SIMILARITY)
+    return _mapped(rows, key, column, place_pieces, _place_strings, link, places)
 
 
-def map_titles(rows: DataFrame, key: str, column: str, reference: DataFrame) -> DataFrame:
+def map_titles(rows: DataFrame, key: str, column: str, reference: DataFrame, most: int = 100_000) -> DataFrame:
     """``key``, ``ref_id``: the listed title that a non-blank value means, -1 if none; as map_places."""
-    return _mapped(rows, key, column, title_entries(reference.collect()), title_words, title_meant, WORD_SIMILARITY)
+    titles = Titles(title_entries(_listed(reference, most)))
+    words, letters = _strings(reference, titles.words()), _strings(reference, titles.letters())
+
+    def link(strings: DataFrame) -> DataFrame:
+        is_whole = F.col("s").startswith(WHOLE)
+        typed, whole = strings.where(~is_whole), strings.where(is_whole).select(F.substring("s", len(WHOLE) + 1, 2**30).alias("s"))
+        near = similar_strings(typed, words, WORD_SIMILARITY)
+        short = similar_strings(typed, words, ABBREVIATION_SIMILARITY, skeleton)
+        same = similar_strings(whole, letters, TITLE_SIMILARITY).select(F.concat(F.lit(WHOLE), "left").alias("left"), "right", "jaccard")
+        return near.unionByName(short).groupBy("left", "right").agg(F.max("jaccard").alias("jaccard")).unionByName(same)
 
+    return _mapped(rows, key, column, title_words, _title_strings, link, titles)
 
-def _mapped(rows: DataFrame, key: str, column: str, entries: list[Entry], cut_up, meant, similarity: float) -> DataFrame:
+
+def _mapped(rows: DataFrame, key: str, column: str, cut_up: Callable[[str], list[str]], strings: Callable[[str], list[str]], link: Callable[[DataFrame], DataFrame], decide: Places | Titles) -> DataFrame:
     given = rows.select(F.col(key), F.col(column).alias("value")).where(F.col("value").isNotNull() & ~_blank(F.col("value")))
-    meanings = _map_values(given.select("value").distinct(), entries, cut_up, meant, similarity)
-    return given.join(meanings, "value").select(key, "ref_id")
+    cores = given.select("value").distinct().mapInArrow(_cutter(cut_up), "value string, core string")
+    parts = cores.select("core").distinct().mapInArrow(_lister(strings), "core string, s string")
+    links = link(parts.select("s").distinct())
+    met = parts.join(links, parts["s"] == links["left"], "left")
+    gathered = met.groupBy("core").agg(F.collect_list(F.when(F.col("right").isNotNull(), F.struct("s", "right", "jaccard"))).alias("similar"))
+    meanings = gathered.mapInArrow(_decider(decide), "core string, ref_id bigint")
+    return given.join(cores.join(meanings, "core").select("value", "ref_id"), "value").select(key, "ref_id")
