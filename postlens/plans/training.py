@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,9 +11,9 @@ from postlens.operators.timestamps import to_instants, zone_report
 from postlens.session import table
 
 
-def job_instants(spark: SparkSession, d: str) -> DataFrame:
-    """Instants of linkedin_jobs.detail_fetched_at by row."""
-    return to_instants(table(spark, d, "linkedin_jobs"), "detail_fetched_at", "worker_id", table(spark, d, "crawl_workers"), "ingested_at")
+def job_instants(spark: SparkSession, d: str, keep: Sequence[str] = ("row_id",)) -> DataFrame:
+    """Instants of linkedin_jobs.detail_fetched_at, beside the columns to keep."""
+    return to_instants(table(spark, d, "linkedin_jobs"), "detail_fetched_at", "worker_id", table(spark, d, "crawl_workers"), "ingested_at", keep=keep)
 
 
 def feed_instants(spark: SparkSession, d: str) -> DataFrame:
