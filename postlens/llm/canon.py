@@ -17,8 +17,10 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from math import ceil
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -140,40 +142,61 @@ def word_distance(typed: str, word: str) -> int | None:
 # --- the join -------------------------------------------------------------------------------
 
 
-def _set_rows(elements: Callable[[str], list[str]]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([elements(x) for x in batch.column(0).to_pylist()], pa.list_(pa.string()))], ["s", "g"])
-
-    return run
+#: Reference strings up to this number are broadcast (about 20 MB); the optimizer decides beyond.
+BROADCAST_STRINGS = 20_000
 
 
-def _prefixes(sets: DataFrame, rarity: DataFrame, similarity: float) -> DataFrame:
-    """Each string with its ordered elements and one row per element of the prefix; strings have one row each."""
-    placed = sets.select("s", F.explode("g").alias("gram")).join(rarity, "gram", "left")
-    ordered = placed.groupBy("s").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "gram"))).alias("o")).select("s", F.transform("o", lambda x: x["gram"]).alias("g"))
-    n = F.size("g")
-    prefix = F.slice("g", 1, (n - F.ceil(n * similarity - 1e-9) + 1).cast("int"))
-    return ordered.select("s", "g", F.posexplode(prefix).alias("at", "gram"))
-
-
-def similar_strings(left: DataFrame, right: DataFrame, similarity: float, elements: Callable[[str], list[str]] = grams) -> DataFrame:
+def similar_strings(left: DataFrame, right: DataFrame, similarity: float, elements: Callable[[str], list[str]] = grams, most: int = 1_000_000) -> DataFrame:
     """``left``, ``right``, ``jaccard`` of all pairs of the distinct strings in column ``s`` at or above the similarity.
 
-    ``elements`` makes the sets.  The order follows the right side (the reference list): its rarest
-    elements first, elements that it lacks before all.  Null and empty strings match nothing.
+    ``elements`` makes the sets.  The global order follows the right side, a reference list of at most
+    ``most`` strings: its rarest elements first, elements that it lacks before all.  The order has one
+    entry per different element, so it goes to every worker, and each left string is ordered and
+    cut to its prefix where it is read; only prefix elements that the list has are joined.  A pair
+    is taken at its first shared element, so that none comes twice.  Null and empty strings match
+    nothing.
     """
-    a, b = (side.where("s IS NOT NULL AND s != ''").select("s").distinct().mapInArrow(_set_rows(elements), "s string, g array<string>") for side in (left, right))
-    rarity = b.select(F.explode("g").alias("gram")).groupBy("gram").agg(F.count("*").alias("df"))
-    pa_, pb = _prefixes(a, rarity, similarity).alias("a"), _prefixes(b, rarity, similarity).alias("b")
-    na, nb = F.size("a.g"), F.size("b.g")
+    some = lambda side: side.where("s IS NOT NULL AND s != ''").select("s").distinct()
+    names = [r["s"] for r in _listed(some(right), most)]
+    often = Counter(g for n in names for g in elements(n))
+    place = {g: k for k, g in enumerate(sorted(often, key=lambda g: (often[g], g)))}
+
+    def ordered(s: str) -> tuple[list[int], int, int]:
+        """Places of a string's elements in the global order, size of its set, and elements of its prefix that are in the list."""
+        found = elements(s)
+        known = sorted(place[g] for g in found if g in place)
+        n = len(found)
+        return known, n, max(0, n - ceil(n * similarity - 1e-9) + 1 - (n - len(known)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            strings = batch.column(0).to_pylist()
+            made = [ordered(s) for s in strings]
+            kept = [k for k, m in enumerate(made) if m[2]]
+            columns = [pa.array([strings[k] for k in kept], pa.string()), *(pa.array([made[k][j] for k in kept], t) for j, t in enumerate((pa.list_(pa.int32()), pa.int32(), pa.int32())))]
+            yield pa.RecordBatch.from_arrays(columns, ["s", "g", "n", "p"])
+
+    schema = "s string, g array<int>, n int, p int"
+    listed = left.sparkSession.createDataFrame([(s, *m) for s in names if (m := ordered(s))[2]], schema)
+    prefix = lambda side: side.select("*", F.posexplode(F.slice("g", F.lit(1), F.col("p"))).alias("k", "element"))
+    a, b = prefix(some(left).mapInArrow(run, schema)), prefix(listed)
+    met = a.alias("a").join((F.broadcast(b) if len(names) <= BROADCAST_STRINGS else b).alias("b"), F.col("a.element") == F.col("b.element"))
+    na, nb, ga, gb = F.col("a.n"), F.col("b.n"), F.col("a.g"), F.col("b.g")
+    # what stands before the shared element: elements that the list lacks, and k others
+    at_a, at_b = na - F.size(ga) + F.col("a.k"), nb - F.size(gb) + F.col("b.k")
     need = F.ceil((na + nb) * (similarity / (1 + similarity)) - 1e-9)
-    met = pa_.join(pb, F.col("a.gram") == F.col("b.gram"))
-    kept = met.where((nb >= na * similarity - 1e-9) & (na >= nb * similarity - 1e-9) & (1 + F.least(na - F.col("a.at") - 1, nb - F.col("b.at") - 1) + F.least("a.at", "b.at") >= need))
-    pairs = kept.select(F.col("a.s").alias("left"), F.col("b.s").alias("right"), F.col("a.g").alias("ga"), F.col("b.g").alias("gb")).dropDuplicates(["left", "right"])
-    shared = F.size(F.array_intersect("ga", "gb"))
-    jaccard = shared / (F.size("ga") + F.size("gb") - shared)
-    return pairs.select("left", "right", jaccard.alias("jaccard")).where(F.col("jaccard") >= similarity - 1e-9)
+    likely = (nb >= na * similarity - 1e-9) & (na >= nb * similarity - 1e-9) & (1 + F.least(na - at_a - 1, nb - at_b - 1) + F.least(at_a, at_b) >= need)
+    first = ~F.arrays_overlap(F.slice(ga, F.lit(1), F.col("a.k")), F.slice(gb, F.lit(1), F.col("b.k")))
+    pairs = met.where(likely & first).select(F.col("a.s").alias("left"), F.col("b.s").alias("right"), (na + nb).alias("both"), F.size(F.array_intersect(ga, gb)).alias("shared"))
+    return pairs.select("left", "right", (F.col("shared") / (F.col("both") - F.col("shared"))).alias("jaccard")).where(F.col("jaccard") >= similarity - 1e-9)
+
+
+def _listed(rows: DataFrame, most: int) -> list:
+    """All rows of a list, which must have ``most`` rows at most."""
+    found = rows.limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"the reference list has more than {most} entries")
+    return found
 
 
 # --- meaning --------------------------------------------------------------------------------
@@ -384,13 +407,6 @@ def _blank(c: Column) -> Column:
     return F.regexp_replace(c, r"(?U)[\s​﻿]+", "") == ""
 
 
-def _listed(reference: DataFrame, most: int) -> list:
-    rows = reference.limit(most + 1).collect()
-    if len(rows) > most:
-        raise ValueError(f"the reference list has more than {most} entries")
-    return rows
-
-
 def _strings(reference: DataFrame, values: list[str]) -> DataFrame:
     return reference.sparkSession.createDataFrame([(v,) for v in values], "s string")
 
