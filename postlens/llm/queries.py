@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from postlens.llm import canon, encode, incremental, language, mixing, neardup, records, survivor
 from postlens.llm.ids import posting_number
+from postlens.operators.timestamps import utc_ms
 from postlens.plans.training import job_instants
 from postlens.session import shared_folder, table
 
@@ -16,8 +17,8 @@ from postlens.session import shared_folder, table
 P3 = {"n": 3, "similarity": 0.7, "min_words": 30}
 
 P4_POLICIES = (
-    survivor.Policy("description", rank=("score", "trust", "time"), score="n_words"),
-    survivor.Policy("detail_fetched_at", rank=("time",), score="has_instant"),
+    survivor.Policy("description", rank=("score", "trust", "time"), score="n_words", norm="words_norm"),
+    survivor.Policy("detail_fetched_at", rank=("time",), score="has_instant", norm="epoch_ms"),
 )
 P4_RECORD = (
     survivor.Policy("title", rank=("votes",)),
@@ -52,34 +53,30 @@ def p3_classes(spark: SparkSession, d: str) -> DataFrame:
     return neardup.classes(_descriptions(spark, d), "row_id", "description", n=5, similarity=0.8)
 
 
-def _postings(spark: SparkSession, d: str) -> DataFrame:
-    """Rows of linkedin_jobs with posting number, trust, instant and word count."""
-    jobs = table(spark, d, "linkedin_jobs").select("row_id", posting_number(F.col("linkedin_job_id"), F.col("url")).alias("job_no"), "worker_id", "description")
-    ranks = table(spark, d, "crawl_workers").groupBy("worker_id").agg(F.min("trust_rank").alias("trust_rank"))
-    measured = jobs.select("row_id", "job_no", "worker_id", survivor.n_distinct_words(F.col("description")).alias("n_words"))
-    instants = job_instants(spark, d)
-    slim = measured.join(instants, "row_id", "left").join(ranks, "worker_id", "left")
-    slim = slim.withColumn("has_instant", F.when(F.col("epoch_ms").isNotNull(), 1))
-    return slim.drop("worker_id")
+def _postings(spark: SparkSession, d: str, *columns: str) -> DataFrame:
+    """Rows of linkedin_jobs with posting number, trust, instant and the measures of their fields; one scan, as
+    the instants are worked out beside the other columns."""
+    keep = ("row_id", "linkedin_job_id", "url", "worker_id", "description", "ingested_at", "detail_fetched_at", *columns)
+    rows = job_instants(spark, d, keep)
+    ranks = table(spark, d, "crawl_workers").groupBy(F.col("worker_id").alias("_worker")).agg(F.min("trust_rank").alias("trust_rank"))
+    numbered = rows.withColumn("job_no", posting_number(F.col("linkedin_job_id"), F.col("url"))).where("job_no IS NOT NULL")
+    words = survivor.distinct_words(F.col("description"))
+    made = {"n_words": F.size(words), "words_norm": F.xxhash64(words), "has_instant": F.when(F.col("epoch_ms").isNotNull(), 1), "ingested_ms": utc_ms(rows, "ingested_at")}
+    return numbered.withColumns(made).join(ranks, F.col("worker_id") == F.col("_worker"), "left")
 
 
-def _several(spark: SparkSession, d: str) -> DataFrame:
-    """Posting numbers with at least two rows."""
-    numbers = table(spark, d, "linkedin_jobs").select(posting_number(F.col("linkedin_job_id"), F.col("url")).alias("job_no"))
-    return numbers.where("job_no IS NOT NULL").groupBy("job_no").agg(F.count("*").alias("n")).where("n >= 2").select("job_no")
+def _p4(spark: SparkSession, d: str, make, policies: tuple, *columns: str) -> DataFrame:
+    return make(_postings(spark, d, *columns), "job_no", "row_id", policies, "trust_rank", "epoch_ms", least_rows=2, latest_ms="ingested_ms")
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     """Row that gives description and detail_fetched_at of each posting with several rows."""
-    rows = _postings(spark, d).withColumns({"description": F.lit(""), "detail_fetched_at": F.lit("")})
-    return survivor.winners(rows, "job_no", "row_id", P4_POLICIES, "trust_rank", "epoch_ms").join(_several(spark, d), "job_no", "left_semi").select("job_no", "field", "row_id")
+    return _p4(spark, d, survivor.winners, P4_POLICIES)
 
 
 def p4_records(spark: SparkSession, d: str) -> DataFrame:
     """One surviving record per posting with several rows, each field from the best of its rows."""
-    jobs = table(spark, d, "linkedin_jobs").select("row_id", "title", "company", "location", "detail_fetched_at", "description")
-    rows = _postings(spark, d).join(_several(spark, d), "job_no", "left_semi").join(jobs, "row_id")
-    return survivor.golden(rows, "job_no", "row_id", P4_RECORD, "trust_rank", "epoch_ms")
+    return _p4(spark, d, survivor.golden, P4_RECORD, "title", "company", "location")
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
