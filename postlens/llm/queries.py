@@ -149,9 +149,9 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p8_soft(spark: SparkSession, d: str) -> DataFrame:
-    """The mix with documents of unknown source, which count for the domains that the classifier sees in them."""
-    mixed = mixing.mix(table(spark, d, "documents"), table(spark, d, "mix_targets"), use_unlabelled=True)
-    return mixed.where("copies > 0").groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("copies")).alias("tokens"), F.sum("copies").alias("n_used"))
+    """Shares of the domains in the mix with documents of unknown source, which count for the domains that the
+    classifier sees in them."""
+    return mixing.domain_shares(mixing.plan_mix(table(spark, d, "documents"), table(spark, d, "mix_targets"), use_unlabelled=True))
 
 
 def _segments(spark: SparkSession, d: str) -> DataFrame:

@@ -98,11 +98,38 @@ def test_mix(spark):
     shares = {r["source"]: r["real_share"] for r in mixing.shares_of(mixed, targets).collect()}
     assert all(r["copies"] == 2 for r in used if r["source"] == "c")
     assert abs(shares["b"] / shares["a"] - 0.35 / 0.4) < 0.06 and abs(shares["d"] / shares["a"] - 0.5) < 0.06 and shares["e"] == 0
-    soft = mixing.mix(rows, targets, use_unlabelled=True)
-    assert {r["source"] for r in soft.where("copies > 0").collect()} <= {"a", "b", "c", "d", None}
+    soft = mixing.plan_mix(rows, targets, use_unlabelled=True)
+    assert {r["source"] for r in soft.documents.where("copies > 0").collect()} <= {"a", "b", "c", "d", None}
+    given = {r["domain"]: r for r in mixing.domain_shares(soft).collect()}
+    assert set(given) == {"a", "b", "c", "d", "e"} and all(r["converged"] for r in given.values()) and abs(sum(r["share"] for r in given.values()) - 1) < 1e-6
     assert mixing.mix(rows.limit(0), targets).count() == 0 and mixing.mix(rows, targets.limit(0)).count() == 0
 
 
+@pytest.mark.skipif(not os.path.exists(encode.VOCABULARY), reason="no vocabulary")
+def test_mix_meets_targets_of_labels_and_of_posteriors(spark):
+    rng, docs = random.Random(7), []
+    for source, n in {"a": 400, "b": 200, "c": 100}.items():
+        for k in range(n):
+            # a third of a's documents read like b's
+            like = "b" if source == "a" and k % 3 == 0 else source
+            docs.append((source, like, " ".join(f"{like}{rng.randint(0, 30)}" for _ in range(rng.randint(20, 60)))))
+    rows = spark.createDataFrame([(i, s, t, x) for i, (s, x, t) in enumerate(docs)], "doc_id bigint, source string, text string, reads string")
+    targets = spark.createDataFrame([("a", 0.3, 2), ("b", 0.5, 2), ("c", 0.2, 2)], "source string, target_share double, max_repeats int")
+    made = mixing.plan_mix(rows, targets, per_bucket=100)
+    shares = {r["source"]: r["real_share"] for r in mixing.shares_of(made.documents, targets).collect()}
+    assert made.fit.converged and all(abs(shares[s] / t - 1) < 0.01 for s, t in (("a", 0.3), ("b", 0.5), ("c", 0.2)))
+    used = made.documents.join(rows.select("doc_id", "reads"), "doc_id").where("source = 'a'").groupBy("reads").agg(F.avg("copies").alias("n")).collect()
+    often = {r["reads"]: r["n"] for r in used}
+    assert often["a"] > often["b"] + 0.1
+
+
+def test_shifted_rates():
+    sizes, rates = np.array([10.0, 20.0, 30.0]), np.array([0.2, 1.0, 1.9])
+    got = mixing.shifted(rates, sizes, 2.0, 80.0)
+    assert abs((got * sizes).sum() - 80) < 1e-6 and (got <= 2).all() and (np.diff(got) >= 0).all()
+    assert mixing.shifted(rates, sizes, 1.0, 80.0).tolist() == [1, 1, 1] and mixing.shifted(rates, sizes, 1.0, 0.0).max() < 1e-9
+
+
 SENTENCES = {
     "en": ["We are looking for a person who can support the team every day.", "You will document the process with your colleagues."],
     "de": ["Wir suchen eine Person, die unser Team jeden Tag unterstützt.", "Sie dokumentieren den Prozess mit den Kollegen."],
