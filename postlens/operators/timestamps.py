@@ -1,15 +1,16 @@
 """Mixed timestamp notations, precisions and zones normalised to one instant in UTC.
 
-Three steps, all of them built-in expressions (no Python worker is started):
+Three steps; every row is read by built-in expressions (Python sees one row per source only):
 
 1. ``with_fields`` reads a value with one of a few notation patterns into year, month,
    day, time, fraction and zone text.  A value that no pattern reads, or whose parts name
    no real moment, has no instant.
 2. ``estimate_zones`` scores every candidate zone for the values *without* zone of each
    source: with a zone's whole offset history, the local times become instants, and an
-   instant after the row's ingestion (or before the given lower bound) is a violation.
-   The history with the fewest violations wins, then the one that leaves the smallest
-   total lag.  One map-side combined aggregate; its result has one row per source.
+   instant after the row's ingestion (or before the given lower bound) is a violation, and
+   so is one that lies further back than the source's values *with* a zone do.  The history
+   with the fewest violations wins.  One map-side combined aggregate of counts and quantile
+   sketches; its result has one row per source.
 3. ``to_instants`` converts: the zone written in the value, else the declared zone of the
    source, else the estimated one.
 
@@ -20,8 +21,10 @@ counts with the offset before the change (both as java.time resolves local times
 from __future__ import annotations
 
 import zoneinfo
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -201,28 +204,93 @@ def utc_ms(df: DataFrame, name: str) -> Column:
     return F.unix_millis(F.col(name).cast("timestamp"))
 
 
-def estimate_zones(parsed: DataFrame, source: str, latest: Column, earliest: Column | None, candidates: Sequence[str], tolerance_s: int = 60) -> DataFrame:
-    """One row per source: the zone whose offset history fits its zoneless values best.
+#: Quantiles that are kept of a source's lags.
+QUANTILES = [k / 200 for k in range(1, 200)]
+
+
+def _edge(lags: list[float] | None) -> float:
+    """Where the bulk of a source's lags ends: the best split of the quantiles into an even bulk and an even tail."""
+    q = np.array(lags if lags is not None else [], float)
+    q = q[q >= 0]
+    if len(q) < 20:
+        return float("inf")
+    inside = np.arange(1, len(q) + 1) / len(q)
+    tail = np.maximum(1 - inside, 1e-3)
+    width = np.maximum(q, 1.0)
+    rest = np.maximum(q[-1] * 1.1 - q, width * 1e-3)
+    score = inside * np.log(inside / width) + tail * np.log(tail / rest)
+    last = len(q) // 2 + int(score[len(q) // 2 :].argmax())
+    return float(q[last] * (1 + 1 / (last + 1)))  # the bulk ends somewhere before the next quantile
+
+
+def _best_zone(candidates: Sequence[str], tolerance_s: int):
+    """Function for mapInPandas: aggregates of one source per row to its zone."""
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            rows = []
+            for r in part.itertuples(index=False):
+                edge, options = _edge(r.zoned), []
+                for k, zone in enumerate(candidates):
+                    lags = np.array(getattr(r, f"q{k}"), float)
+                    late = float((lags > edge + tolerance_s).mean()) * r.n_zoneless
+                    options.append((getattr(r, f"v{k}") + late, getattr(r, f"g{k}"), k, zone))
+                best = min(options)
+                rows.append((r.source, r.n_zoneless, best[3], best[0], edge if np.isfinite(edge) else None))
+            yield pd.DataFrame(rows, columns=["source", "n_zoneless", "estimated_zone", "violations", "longest_lag_s"])
 
-    ``parsed`` has a column ``p`` of with_fields; the bounds are milliseconds since 1970.  A violation is an instant later than ``latest``
-    or, if given, earlier than ``earliest``, by more than the tolerance.  Ties: smaller total lag
-    to ``latest``, then the order of ``candidates``.  Sources without zoneless values have no row.
+    return run
+
+
+def estimate_zones(parsed: DataFrame, source: str, latest: Column, earliest: Column | None, candidates: Sequence[str], tolerance_s: int = 60) -> DataFrame:
+    """``source``, ``n_zoneless``, ``estimated_zone``, ``violations``, ``longest_lag_s``: one row per source
+    with the zone whose offset history fits its zoneless values best.
+
+    ``parsed`` has a column ``p`` of with_fields; the bounds are milliseconds since 1970.  Violations:
+    instants later than ``latest`` or, if given, earlier than ``earliest``, by more than the tolerance;
+    and instants whose lag to ``latest`` is longer than the bulk of the lags of the source's values with
+    a zone (estimated from quantiles; without enough such values there is no such bound).  Dates
+    alone tell nothing and don't count.  Ties: smaller total lag, then the order of ``candidates``.
+    Sources without zoneless values have no row.
     """
     p, tol = F.col("p"), F.lit(tolerance_s * 1000)
-    upper, lower = latest, earliest
-    # a condition inside the sums, not a filter: the optimizer would push a filter below the parsing and parse twice
-    counts = p.isNotNull() & p["offset_min"].isNull() & p["region"].isNull() & latest.isNotNull()
-    sums = []
+    # conditions inside the sums, not filters: the optimizer would push a filter below the parsing and parse twice
+    timed = p.isNotNull() & latest.isNotNull() & (F.pmod(p["secs"], F.lit(86400)) != 0)
+    counts = timed & p["offset_min"].isNull() & p["region"].isNull()
+    zoned = F.when(timed & p["offset_min"].isNotNull(), (latest - (p["secs"] - p["offset_min"] * 60) * 1000) / 1000)
+    aggs = [F.count(F.when(counts, 1)).alias("n_zoneless"), F.percentile_approx(zoned, QUANTILES, 2000).alias("zoned")]
     for k, zone in enumerate(candidates):
-        t = F.when(counts, local_ms(p, F.lit(zone)))
-        wrong = t > upper + tol
-        if lower is not None:
-            wrong = wrong | F.coalesce(t < lower - tol, F.lit(False))
-        sums += [F.sum(F.when(wrong, 1).otherwise(0)).alias(f"v{k}"), F.sum(F.least(F.abs(upper - t) / 1000, F.lit(30 * 86400.0))).alias(f"g{k}")]
-    grouped = parsed.where(F.col(source).isNotNull()).groupBy(source).agg(F.count(F.when(counts, 1)).alias("n_zoneless"), *sums)
-    scores = F.array(*[F.struct(F.col(f"v{k}").alias("violations"), F.col(f"g{k}").alias("lag_s"), F.lit(k).alias("k"), F.lit(z).alias("zone")) for k, z in enumerate(candidates)])
-    best = F.array_min(scores)
-    return grouped.where("n_zoneless > 0").select(source, "n_zoneless", best["zone"].alias("estimated_zone"), best["violations"].alias("violations"), scores.alias("scores"))
+        lag = F.when(counts, latest - zone_ms(p, zone))
+        wrong = lag < -tol
+        if earliest is not None:
+            wrong = wrong | F.coalesce(lag > latest - earliest + tol, F.lit(False))
+        aggs += [F.count(F.when(wrong, 1)).alias(f"v{k}"), F.sum(F.least(F.abs(lag) / 1000, F.lit(30 * 86400.0))).alias(f"g{k}"), F.percentile_approx(lag / 1000, QUANTILES, 2000).alias(f"q{k}")]
+    grouped = parsed.where(F.col(source).isNotNull()).groupBy(F.col(source).cast("string").alias("source")).agg(*aggs).where("n_zoneless > 0")
+    return grouped.mapInPandas(_best_zone(tuple(candidates), tolerance_s), "source string, n_zoneless bigint, estimated_zone string, violations double, longest_lag_s double")
+
+
+def zone_ms(p: Column, zone: str) -> Column:
+    """Milliseconds since 1970 of local parts in a zone's offset history, but for the hours of a change."""
+    return F.unix_seconds(F.to_utc_timestamp(F.timestamp_seconds(p["secs"]), zone)) * 1000 + F.coalesce(p["ms"], F.lit(0))
+
+
+#: Sources up to this number are sent to every task; beyond it the optimizer chooses the join.
+BROADCAST_SOURCES = 10_000
+
+
+def zones_of(rows: DataFrame, value: str, source: str, registry: DataFrame, latest: str, earliest: str | None, candidates: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """``rows`` with ``p`` and the declared ``tz_name``, and the estimate of each source among the declared zones and ``candidates``."""
+    reg = registry.select(F.col(source).alias("_src"), "tz_name", "date_order").dropDuplicates(["_src"])
+    joined = rows.join(reg, rows[source].eqNullSafe(reg["_src"]), "left").drop("_src")
+    parsed = with_fields(joined, value, "date_order")
+    # at most as many as there are names of zones
+    declared = sorted(r["tz_name"] for r in reg.where(is_zone("tz_name")).select("tz_name").distinct().collect())
+    tried = [z for z in dict.fromkeys([*candidates, *declared]) if z in set(zone_names())]
+    guess = estimate_zones(parsed, source, utc_ms(parsed, latest), utc_ms(parsed, earliest) if earliest else None, tried)
+    found = guess.limit(BROADCAST_SOURCES + 1).collect()
+    if len(found) <= BROADCAST_SOURCES:
+        guess = F.broadcast(rows.sparkSession.createDataFrame(found, guess.schema))
+    return parsed, guess
 
 
 def to_instants(
@@ -238,26 +306,17 @@ def to_instants(
     """``keep`` columns and ``epoch_ms`` of each row; null where the value names no instant.
 
     ``registry`` has one row per source with ``tz_name`` and ``date_order`` (both may be null).
-    The declared zone of a source holds unless its offset history has more violations than the
-    best history by over a quarter of the source's zoneless values; a source that is missing there,
-    or whose zone is no known name, gets the estimated zone; if there is none either, its zoneless
-    values have no instant.  Null, blank, impossible, incomplete and relative values have none.
-    Rows are never dropped; repeated rows each get their instant.  Registry and estimates have one
-    row per source; the optimizer decides by their size whether to broadcast them.
+    The declared zone of a source holds; a source that is missing there, or whose zone is no known
+    name, gets the estimated zone; if there is none either, its zoneless values have no instant.
+    Null, blank, impossible, incomplete and relative values have none.  Rows are never dropped;
+    repeated rows each get their instant.  The rows themselves are not shuffled while there are at
+    most BROADCAST_SOURCES sources, however many rows one of them has.
     """
-    reg = registry.select(F.col(source).alias("_src"), "tz_name", "date_order").dropDuplicates(["_src"])
     extra = [earliest] if earliest else []
     slim = rows.select(*dict.fromkeys([*keep, value, source, latest, *extra]))
-    joined = slim.join(reg, slim[source].eqNullSafe(reg["_src"]), "left").drop("_src")
-    parsed = with_fields(joined, value, "date_order")
-    declared = [r["tz_name"] for r in registry.select("tz_name").distinct().limit(len(zone_names())).collect()]
-    tried = [z for z in dict.fromkeys([*declared, *candidates]) if z in set(zone_names())]
-    guess = estimate_zones(parsed, source, utc_ms(parsed, latest), utc_ms(parsed, earliest) if earliest else None, tried)
-    guess = guess.select(F.col(source).alias("_est"), "estimated_zone", "violations", "n_zoneless", "scores")
-    out = parsed.join(guess, parsed[source] == guess["_est"], "left")
-    own = F.get(F.filter("scores", lambda x: x["zone"] == F.col("tz_name")), F.lit(0))["violations"]
-    sure = F.when(is_zone("tz_name") & (F.coalesce(own - F.col("violations"), F.lit(0)) <= F.coalesce(F.col("n_zoneless"), F.lit(0)) * 0.25), F.col("tz_name"))
-    zone = F.coalesce(sure, F.col("estimated_zone"))
+    parsed, guess = zones_of(slim, value, source, registry, latest, earliest, candidates)
+    out = parsed.join(guess.select(F.col("source").alias("_est"), "estimated_zone"), F.col(source).cast("string") == F.col("_est"), "left")
+    zone = F.coalesce(F.when(is_zone("tz_name"), F.col("tz_name")), F.col("estimated_zone"))
     p = F.col("p")
     instant = (
         F.when(p.isNull(), None)
@@ -269,8 +328,8 @@ def to_instants(
 
 
 def zone_report(rows: DataFrame, value: str, source: str, registry: DataFrame, latest: str, earliest: str | None = None, candidates: Sequence[str] = CANDIDATE_ZONES) -> DataFrame:
-    """Declared and estimated zone of each source with the violations of the estimate."""
-    reg = registry.select(F.col(source).alias("_src"), F.col("tz_name").alias("declared_zone"), "date_order").dropDuplicates(["_src"])
-    parsed = with_fields(rows.join(reg, rows[source] == reg["_src"], "left"), value, "date_order")
-    found = estimate_zones(parsed, source, utc_ms(parsed, latest), utc_ms(parsed, earliest) if earliest else None, candidates)
-    return found.join(reg, found[source] == reg["_src"], "left").select(F.col(source).alias("source"), "declared_zone", "estimated_zone", "n_zoneless", "violations")
+    """Declared zone of each source and the estimate that ``to_instants`` would use without it."""
+    slim = rows.select(*dict.fromkeys([value, source, latest, *([earliest] if earliest else [])]))
+    _, found = zones_of(slim, value, source, registry, latest, earliest, candidates)
+    reg = registry.select(F.col(source).cast("string").alias("_src"), F.col("tz_name").alias("declared_zone")).dropDuplicates(["_src"])
+    return found.join(reg, found["source"] == reg["_src"], "left").select("source", "declared_zone", "estimated_zone", "n_zoneless", "violations", "longest_lag_s")

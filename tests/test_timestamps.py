@@ -2,11 +2,13 @@
 
 import calendar
 import datetime as dt
+import random
+import zoneinfo
 
 import pytest
 from pyspark.sql import functions as F
 
-from postlens.operators.timestamps import estimate_zones, to_instants, utc_ms, with_fields
+from postlens.operators.timestamps import estimate_zones, to_instants, utc_ms, with_fields, zone_report
 
 
 def ms(*parts):
@@ -96,3 +98,23 @@ def test_empty_table_and_clashing_columns(spark, registry):
     assert to_instants(df, "v", "source", registry, "seen").count() == 0
     df = spark.createDataFrame([(1, "2026-01-15 08:00Z", "b", dt.datetime(2026, 2, 1), "x", 1, "y")], df.schema)
     assert to_instants(df, "v", "source", registry, "seen").first()["epoch_ms"] == ms(2026, 1, 15, 8)
+
+
+def test_hidden_zones_are_found_from_lags(spark):
+    """Sources whose values with a zone lie up to two days back: neither earlier nor later zones fit the others."""
+    rng, rows, zones = random.Random(3), [], {"london": "Europe/London", "berlin": "Europe/Berlin", "york": "America/New_York", "utc": "UTC", "kolkata": "Asia/Kolkata"}
+    for name, zone in zones.items():
+        for k in range(2000):
+            at = dt.datetime(2026, 1, 1) + dt.timedelta(minutes=rng.randint(0, 500_000))
+            seen = at + dt.timedelta(hours=rng.uniform(0.1, 48) if rng.random() > 0.08 else rng.uniform(48, 900))
+            local = at.replace(tzinfo=dt.UTC).astimezone(zoneinfo.ZoneInfo(zone))
+            rows.append((len(rows), at.strftime("%Y-%m-%dT%H:%M:%SZ") if k % 2 else local.strftime("%Y-%m-%d %H:%M:%S"), name, seen))
+    df = spark.createDataFrame(rows, "row_id bigint, v string, source string, seen timestamp_ntz")
+    nothing = spark.createDataFrame([("utc", None, None)], "source string, tz_name string, date_order string")
+    got = {r["source"]: r["estimated_zone"] for r in zone_report(df, "v", "source", nothing, "seen").collect()}
+    assert got == zones
+
+
+def test_declared_zone_holds_whatever_the_values_say(spark, registry):
+    rows = [(f"2026-12-31 {h:02}:30:00", "n") for h in range(1, 24)]
+    assert read(spark, registry, rows)[0] == ms(2026, 12, 31, 6, 30)
