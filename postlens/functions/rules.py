@@ -1,15 +1,18 @@
 """Ordered rule tables and their compilation to columns.
 
 A taxonomy is an ordered mapping of label to pattern.  Rules are compiled on the driver into
-literal ``rlike`` expressions: each pattern is compiled once per task, and no rule table is ever
-joined with texts.  Matching ignores case in all of Unicode.
+literal searches and, where these don't decide, ``rlike`` expressions; no rule table is ever joined
+with texts.  Matching ignores case in all of Unicode.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_, or_
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 FLAGS = "(?iuU)"
@@ -173,27 +176,197 @@ PLACE_ALIASES = {
 }
 
 
-def matches(text: Column, pattern: str) -> Column:
-    """Whether the pattern occurs, case ignored; false for a null text."""
-    return F.coalesce(text.rlike(FLAGS + pattern), F.lit(False))
+# --- compilation --------------------------------------------------------------------------------
 
+_TOKEN = re.compile(r"(\\[a-zA-Z]|\[[^\]]*\]|\\.|\.|[^\\])([?*+]|\{\d+(?:,\d*)?\})?")
+#: Literal forms that a branch is written out to at most; one with more is searched for by parts of it.
+MOST_FORMS = 64
+#: Stands for what is not literal in a form.
+_GAP = "\0"
 
-def tags(text: Column, rules: Mapping[str, str], default: str | None = None) -> Column:
+
+def _split_top(pattern: str) -> list[str]:
+    """Alternatives of a pattern, parted at bars outside of brackets and groups."""
+    parts, depth, start, i = [], 0, 0, 0
+    while i < len(pattern):
+        c = pattern[i]
+        if c == "\\":
+            i += 1
+        elif c == "[":
+            i = pattern.index("]", i + 1)
+        elif c in "()":
+            depth += 1 if c == "(" else -1
+        elif c == "|" and not depth:
+            parts.append(pattern[start:i])
+            start = i + 1
+        i += 1
+    return [*parts, pattern[start:]]
+
+
+def _ungrouped(branch: str) -> list[str]:
+    """The branch with each group of alternatives replaced by one of them in turn, an optional group also by nothing."""
+    found = re.search(r"\((?:\?:)?([^()]*)\)([?*]?)", branch)
+    if not found:
+        return [branch]
+    inner = [*_split_top(found[1]), *([""] if found[2] else [])]
+    return [x for part in inner for x in _ungrouped(branch[: found.start()] + part + branch[found.end() :])]
+
+
+def _choices(token: str, often: str) -> list[str]:
+    """What a token can stand for: itself, each member of a small class, a blank for white space; _GAP for anything."""
+    if token == r"\b":
+        return [r"\b"]
+    if token == r"\s":
+        made = [" "]
+    elif token[0] == "[":
+        made = list(token[1:-1].replace("\\", "")) if len(token) <= 6 and not re.search(r"\w-\w", token) else [_GAP]
+    elif token[0] == "\\":
+        made = [token[1]] if not token[1].isalnum() else [_GAP]
+    else:
+        made = [_GAP] if token == "." else [token]
+    if often in ("?", "*"):
+        return ["", *made] if often == "?" or token == r"\s" else [_GAP]
+    if often and (often[0] == "{" or token != r"\s"):
+        return [_GAP]
+    return made
+
+
+def forms(branch: str) -> list[str]:
+    """A branch written out: strings of literals, word edges and gaps of which every match is one."""
+    out: list[str] = []
+    for one in _ungrouped(branch):
+        made = [""]
+        for token, often in _TOKEN.findall(one):
+            made = [m + c for m in made for c in _choices(token, often)]
+            if len(made) > MOST_FORMS:
+                made = [_GAP.join(re.split(r"\\s\*|\[[^\]]*\][?*+]?|.[?*+]|\.?\{[\d,]+\}|[.]", one)).replace("\\.", ".")]
+                break
+        out += made
+    return list(dict.fromkeys(out))
+
+
+def needed(form: str) -> tuple[list[str], list[str]]:
+    """(words, strings): what the words of a text, and its word line, hold wherever the form matches."""
+    words, strings = [], []
+    for part in re.split(_GAP + "+", form):
+        line = re.sub(r"\W+", " ", part.replace(r"\b", "").lower())
+        begins, ends = part.startswith(r"\b") or line.startswith(" "), part.endswith(r"\b") or line.endswith(" ")
+        pieces = line.split()
+        for i, w in enumerate(pieces):
+            whole = (i > 0 or begins) and (i < len(pieces) - 1 or ends)
+            if whole:
+                words.append(w)
+            elif len(w) > 1:
+                strings.append((" " if i > 0 or begins else "") + w + (" " if i < len(pieces) - 1 or ends else ""))
+    return words, strings
+
+
+def _single_word(form: str) -> str | None:
+    """The word of a form that is nothing but one word."""
+    found = re.fullmatch(r"\\b(\w+)\\b", form)
+    return found[1].lower() if found else None
+
+
+def _vocabulary() -> set[str]:
+    """Whole words that the rule tables of this module look for."""
+    patterns = [p for table in (STRONG_TERMS, MODULES, SKILLS, SOFT_SKILLS, DEGREE_LEVELS, DEGREE_FIELDS) for p in table.values()]
+    patterns += [p for table in (ROLE_RULES, SENIORITY_RULES) for _, _, p in table] + [TITLE_CORE, TITLE_DELIVERY, TOOL_PHRASES, PAY_PHRASE]
+    return {w for p in patterns for branch in _split_top(p) for form in forms(branch) for w in needed(form)[0]}
+
+
+VOCABULARY = frozenset(_vocabulary())
+
+
+def word_line(text: Column) -> Column:
+    """``all``: a text's words in lower case with single blanks around each; ``known``: those of them in VOCABULARY.
+
+    Rules are looked up in them.  Letters that match others when case is ignored, though they aren't
+    their lower case, are exchanged.
+    """
+    folded = F.lower(F.translate(F.coalesce(text, F.lit("")), "ſİı", "sii"))
+    line = F.concat(F.lit(" "), F.regexp_replace(folded, r"(?U)\W+", " "), F.lit(" "))
+    known = F.array_intersect(F.split(line, " "), F.lit(sorted(VOCABULARY)))
+    return F.struct(line.alias("all"), F.concat(F.lit(" "), F.array_join(known, " "), F.lit(" ")).alias("known"))
+
+
+def with_lines(rows: DataFrame, lines: Mapping[str, Column]) -> DataFrame:
+    """``rows`` with the word lines of texts, each worked out once per row.
+
+    The optimizer would copy a line's expression into every condition that is pushed below it or
+    merged with it; it leaves expressions alone that hold a random part (which is never used here).
+    """
+    return rows.withColumns({name: F.when(F.rand(0) >= 0, word_line(value)) for name, value in lines.items()})
+
+
+def _joined(op, conditions: list[Column]) -> Column:
+    """Conditions joined by an operator as a tree of little depth, which the code generator can take."""
+    while len(conditions) > 1:
+        pairs = [conditions[i : i + 2] for i in range(0, len(conditions), 2)]
+        conditions = [reduce(op, p) for p in pairs]
+    return conditions[0]
+
+
+def matches(text: Column, pattern: str, line: Column | None = None) -> Column:
+    """Whether the pattern occurs, case ignored; false for a null text.
+
+    ``line`` is the text's word line; it pays to work it out once for all rules of a text.  An
+    alternative that is one word in every form is looked up among the words.  Any other is searched
+    for as an expression, but only where the line holds the words and strings that it needs; so
+    most rules cost a few searches in a short string.
+    """
+    return _found(text, [pattern], word_line(text) if line is None else line)
+
+
+def _holds(line: Column, sets: Sequence[tuple[tuple[str, ...], tuple[str, ...]]]) -> Column:
+    """Whether the line holds all words and strings of any of the sets; those of known words only are one search."""
+    plain = [words for words, strings in sets if not strings and all(w in VOCABULARY for w in words)]
+    other = [(words, strings) for words, strings in sets if words not in plain or strings]
+    has_word = lambda w: line["known" if w in VOCABULARY else "all"].contains(f" {w} ")
+    tests = [_joined(and_, [*map(has_word, words), *(line["all"].contains(x) for x in strings)]) for words, strings in other]
+    if plain:
+        tests.append(line["known"].rlike("^(?:" + "|".join("".join(f"(?=.* {w} )" for w in words) for words in plain) + ")"))
+    return _joined(or_, tests)
+
+
+def _found(text: Column, patterns: Sequence[str], line: Column) -> Column:
+    words: dict[str, list[str]] = {"known": [], "all": []}
+    rest: list[str] = []
+    sets: dict[tuple, None] = {}
+    for branch in (b for p in patterns for b in _split_top(p)):
+        made = forms(branch)
+        single = [_single_word(f) for f in made]
+        if all(single):
+            for w in single:
+                words["known" if w in VOCABULARY else "all"].append(w)
+        else:
+            rest.append(branch)
+            sets.update(dict.fromkeys((tuple(dict.fromkeys(needs)), tuple(strings)) for needs, strings in map(needed, made)))
+    tests = [line[name].rlike(f" (?:{'|'.join(dict.fromkeys(found))}) ") if len(found) > 1 else line[name].contains(f" {found[0]} ") for name, found in words.items() if found]
+    if rest:
+        found = text.rlike(FLAGS + "|".join(rest))
+        tests.append(_holds(line, list(sets)) & found if all(a or b for a, b in sets) else found)
+    return F.coalesce(_joined(or_, tests), F.lit(False))
+
+
+def tags(text: Column, rules: Mapping[str, str], default: str | None = None, line: Column | None = None) -> Column:
     """Labels of all rules that match, in the rules' order; ``[default]`` if none does (empty without a default)."""
-    found = F.array_compact(F.array(*[F.when(matches(text, p), F.lit(label)) for label, p in rules.items()]))
+    line = word_line(text) if line is None else line
+    found = F.array_compact(F.array(*[F.when(matches(text, p, line), F.lit(label)) for label, p in rules.items()]))
     return found if default is None else F.when(F.size(found) == 0, F.array(F.lit(default))).otherwise(found)
 
 
-def any_match(text: Column, rules: Mapping[str, str]) -> Column:
-    """Whether any rule matches: one alternation, one pass over the text."""
-    return matches(text, "|".join(f"(?:{p})" for p in rules.values()))
+def any_match(text: Column, rules: Mapping[str, str], line: Column | None = None) -> Column:
+    """Whether any rule matches; the rules after the first that does aren't tried."""
+    line = word_line(text) if line is None else line
+    return _found(text, list(rules.values()), line)
 
 
-def first_match(rules: Sequence[tuple[str, str, str]], inputs: Mapping[str, Column], default: str) -> Column:
+def first_match(rules: Sequence[tuple[str, str, str]], inputs: Mapping[str, Column], default: str, lines: Mapping[str, Column] | None = None) -> Column:
     """Label of the first rule whose input matches; the order of the rules is their meaning."""
+    lines = {k: word_line(v) for k, v in inputs.items()} if lines is None else lines
     out = F.lit(default)
     for label, source, pattern in reversed(rules):
-        out = F.when(matches(inputs[source], pattern), F.lit(label)).otherwise(out)
+        out = F.when(matches(inputs[source], pattern, lines[source]), F.lit(label)).otherwise(out)
     return out
 
 

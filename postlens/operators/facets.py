@@ -16,7 +16,7 @@ def count_values(rows: DataFrame, column: str, multi: bool = False) -> DataFrame
 
     ``multi``: the column is an array, and a row counts once for each of its elements.
     """
-    values = rows.select(F.explode(column).alias("label") if multi else F.col(column).alias("label"))
+    values = rows.select(F.explode_outer(column).alias("label") if multi else F.col(column).alias("label"))
     return ranked(values.select(F.col("label").cast("string").alias("label")).where("label IS NOT NULL AND label != ''").groupBy("label").agg(F.count("*").alias("n")))
 
 
@@ -30,8 +30,15 @@ def facets(rows: DataFrame, single: Sequence[str] = (), multi: Sequence[str] = (
     pair = lambda f: lambda x: F.struct(F.lit(f).alias("facet"), x.cast("string").alias("label"))
     parts = [F.array(pair(c)(F.col(c))) for c in single]
     parts += [F.transform(F.coalesce(F.col(c), F.array().cast("array<string>")), pair(c)) for c in multi]
-    parts += [F.transform(rules.tags(body, table), pair(name)) for name, (body, table) in (tagged or {}).items()]
-    pairs = rows.select(F.explode(F.concat(*parts)).alias("p")).select("p.facet", "p.label")
+    # the word line of each tagged text is worked out once
+    bodies: dict[str, str] = {}
+    for name, (body, _) in (tagged or {}).items():
+        bodies.setdefault(str(body), name)
+    lined = rules.with_lines(rows, {f"_line_{name}": body for name, (body, _) in (tagged or {}).items() if name in bodies.values()})
+    for name, (body, table) in (tagged or {}).items():
+        first = bodies[str(body)]
+        parts.append(F.transform(rules.tags(body, table, line=F.col(f"_line_{first}")), pair(name)))
+    pairs = lined.select(F.explode_outer(F.concat(*parts)).alias("p")).select("p.facet", "p.label")
     return pairs.where("label IS NOT NULL AND label != ''").groupBy("facet", "label").agg(F.count("*").alias("n"))
 
 
@@ -51,13 +58,15 @@ def top_k(counts: DataFrame, k: int, exclude: Sequence[str] = (), total: int | N
 
 def rule_counts(rows: DataFrame, body: Column, table: Mapping[str, str]) -> DataFrame:
     """``label``, ``n``: rows in which each rule matches, worked out while scanning."""
-    return ranked(rows.select(F.explode(rules.tags(body, table)).alias("label")).groupBy("label").agg(F.count("*").alias("n")))
+    lined = rules.with_lines(rows.select(body.alias("_body")), {"_line": F.col("_body")})
+    labels = lined.select(F.explode_outer(rules.tags(F.col("_body"), table, line=F.col("_line"))).alias("label")).where("label IS NOT NULL")
+    return ranked(labels.groupBy("label").agg(F.count("*").alias("n")))
 
 
 def term_frequencies(rows: DataFrame, body: Column, k: int = 30, stop_words: Sequence[str] = tuple(rules.STOP_WORDS), stop_tokens: Sequence[str] = rules.STOP_TOKENS) -> DataFrame:
     """``label``, ``n``: in how many rows each term occurs, the k most frequent; ties by term."""
     terms = text.doc_terms(body, list(stop_words), tuple(stop_tokens))
-    return ranked(rows.select(F.explode(terms).alias("label")).groupBy("label").agg(F.count("*").alias("n"))).limit(k)
+    return ranked(rows.select(F.explode_outer(terms).alias("label")).where("label IS NOT NULL").groupBy("label").agg(F.count("*").alias("n"))).limit(k)
 
 
 def coverage(rows: DataFrame, snapshot: str, query: str = "query", location: str = "query_location", search_filter: str = "query_filter", description: str = "description", least: int = 80) -> DataFrame:

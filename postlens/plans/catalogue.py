@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from postlens.functions import rules, text
 from postlens.operators import dedupe, enrich, facets, grid, history, merge, report
-from postlens.session import shared_folder, table
+from postlens.session import shared_folder, spread, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -84,9 +84,10 @@ _DOC = f"SELECT doc_id, source, lang, {sql_space('title')} AS t, {sql_html('text
 
 def _docs(spark: SparkSession, d: str) -> DataFrame:
     """Documents with cleaned title ``t``, body ``b`` and everything ``x``."""
-    docs = table(spark, d, "documents")
+    docs = spread(table(spark, d, "documents").select("doc_id", "source", "lang", "title", "company", "text"))
     t, c, b = text.normalize_space(F.col("title")), text.normalize_space(F.col("company")), text.html_text(F.col("text"))
-    return docs.select("doc_id", "source", "lang", t.alias("t"), b.alias("b"), c.alias("c")).withColumn("x", F.trim(F.concat_ws(" ", "t", "c", "b")))
+    made = docs.select("doc_id", "source", "lang", t.alias("t"), b.alias("b"), c.alias("c")).withColumn("x", F.trim(F.concat_ws(" ", "t", "c", "b")))
+    return rules.with_lines(made, {"line": F.col("x")})
 
 
 # --- cleaning -----------------------------------------------------------------------------------
@@ -143,7 +144,7 @@ def epoch_iso_jobs(spark, d):
 @query(f"""WITH s AS (SELECT doc_id, list_filter([{', '.join(f"CASE WHEN {sql_match('x', p)} THEN {q(label)} END" for label, p in rules.SKILLS.items())}], lambda t: t IS NOT NULL) AS v FROM ({_DOC}))
 SELECT doc_id, array_to_string(CASE WHEN len(v) > 3 THEN list_append(v[1:3], '+' || (len(v) - 3)) ELSE v END, '; ') AS chips FROM s""")
 def chips_docs(spark, d):
-    return _docs(spark, d).select("doc_id", F.array_join(text.chips(rules.tags(F.col("x"), rules.SKILLS), 3), "; ").alias("chips"))
+    return _docs(spark, d).select("doc_id", F.array_join(text.chips(rules.tags(F.col("x"), rules.SKILLS, line=F.col("line")), 3), "; ").alias("chips"))
 
 
 @query("""WITH v AS (SELECT row_id, CASE WHEN trim(coalesce(salary_min, '')) NOT IN ('', '0') THEN trim(salary_min) END AS a, CASE WHEN trim(coalesce(salary_max, '')) NOT IN ('', '0') THEN trim(salary_max) END AS b,
@@ -165,7 +166,7 @@ def search_links_jobs(spark, d):
 
 def _tag_query(name: str, rules_: dict[str, str], default: str | None = None) -> None:
     def run(spark, d):
-        return _docs(spark, d).select("doc_id", F.array_join(rules.tags(F.col("x"), rules_, default), "; ").alias("labels"))
+        return _docs(spark, d).select("doc_id", F.array_join(rules.tags(F.col("x"), rules_, default, F.col("line")), "; ").alias("labels"))
 
     run.__name__ = name
     query(f"SELECT doc_id, {sql_tags('x', rules_, default)} AS labels FROM ({_DOC})")(run)
@@ -181,12 +182,12 @@ _tag_query("tag_degree_fields_docs", rules.DEGREE_FIELDS)
 
 @query(f"SELECT doc_id FROM ({_DOC}) WHERE " + " OR ".join(sql_match("x", p) for p in rules.STRONG_TERMS.values()))
 def match_filter_docs(spark, d):
-    return _docs(spark, d).where(rules.any_match(F.col("x"), rules.STRONG_TERMS)).select("doc_id")
+    return _docs(spark, d).where(rules.any_match(F.col("x"), rules.STRONG_TERMS, F.col("line"))).select("doc_id")
 
 
 @query(f"SELECT doc_id, {sql_first(rules.ROLE_RULES, {'title': 't', 'text': 'x'}, rules.OTHER_ROLE)} AS role FROM ({_DOC})")
 def classify_role_docs(spark, d):
-    return _docs(spark, d).select("doc_id", rules.first_match(rules.ROLE_RULES, {"title": F.col("t"), "text": F.col("x")}, rules.OTHER_ROLE).alias("role"))
+    return rules.with_lines(_docs(spark, d), {"tl": F.col("t")}).select("doc_id", rules.first_match(rules.ROLE_RULES, {"title": F.col("t"), "text": F.col("x")}, rules.OTHER_ROLE, {"title": F.col("tl"), "text": F.col("line")}).alias("role"))
 
 
 @query("SELECT doc_id, " + sql_first(rules.SENIORITY_RULES, {"sample": "(t || ' ' || substr(b, 1, 1000))"}, rules.NO_SENIORITY) + f" AS level FROM ({_DOC})")
@@ -198,13 +199,14 @@ def classify_seniority_docs(spark, d):
  WHEN {sql_match('t', rules.TITLE_CORE)} THEN 'SAP-titled role' WHEN {sql_tags('x', rules.MODULES)} != '' THEN 'SAP module/technical requirement'
  WHEN {sql_match('x', rules.TOOL_PHRASES)} THEN 'SAP required as business tool' ELSE 'SAP mentioned' END AS focus FROM ({_DOC})""")
 def classify_focus_docs(spark, d):
-    modules = rules.tags(F.col("x"), rules.MODULES, rules.NO_MODULE)
-    return _docs(spark, d).select("doc_id", enrich.focus(F.col("t"), F.col("x"), modules, corrected=True).alias("focus"))
+    modules = rules.tags(F.col("x"), rules.MODULES, rules.NO_MODULE, F.col("line"))
+    docs = rules.with_lines(_docs(spark, d), {"tl": F.col("t")}).withColumn("modules", modules)
+    return docs.select("doc_id", enrich.focus(F.col("t"), F.col("x"), F.col("modules"), corrected=True, title_line=F.col("tl"), line=F.col("line")).alias("focus"))
 
 
 @query()
 def classified_jobs(spark, d):
-    made = enrich.classify(table(spark, d, "linkedin_jobs"), job_id="linkedin_job_id", only_matching=True)
+    made = enrich.classify(spread(table(spark, d, "linkedin_jobs")), job_id="linkedin_job_id", only_matching=True)
     return made.select("row_id", "id", "primary_location", "role_family", "seniority", "sap_focus", F.array_join("skills", "; ").alias("skills"))
 
 
@@ -346,7 +348,7 @@ def _sql_rule_counts(table_: dict[str, str], facet: str | None = None) -> str:
 
 @query(f"WITH x AS MATERIALIZED ({_DOC}) " + _sql_rule_counts(rules.SKILLS))
 def facet_counts_skills(spark, d):
-    return facets.count_values(_docs(spark, d).withColumn("skills", rules.tags(F.col("x"), rules.SKILLS)), "skills", multi=True)
+    return facets.count_values(_docs(spark, d).withColumn("skills", rules.tags(F.col("x"), rules.SKILLS, line=F.col("line"))), "skills", multi=True)
 
 
 @query(f"WITH x AS MATERIALIZED ({_DOC}) SELECT 'source' AS facet, source AS label, count(*) AS n FROM x WHERE source != '' GROUP BY source UNION ALL "
@@ -537,10 +539,14 @@ def merged_lists_jobs(spark, d):
 
 @query()
 def flagship(spark, d):
-    """Skills asked for most in the link pool: deduplicated by posting, filtered, tagged, counted."""
-    jobs = table(spark, d, "linkedin_jobs").select("row_id", "linkedin_job_id", "title", "company", "location", "url", "description")
+    """Skills asked for most in the link pool: filtered, tagged, deduplicated by posting, counted.
+
+    Texts stay where they are read: only the key and the tags of a row that matches are shuffled.
+    """
+    jobs = spread(table(spark, d, "linkedin_jobs").select("row_id", "linkedin_job_id", "title", "company", "location", "url", "description"))
     key = dedupe.posting_key(*[F.col(c) for c in ("linkedin_job_id", "title", "company", "location", "url")])
-    once = dedupe.first_wins(jobs, key, ["row_id"])
     body = F.concat_ws(" ", text.normalize_space(F.col("title")), text.normalize_space(F.col("company")), text.html_text(F.col("description")))
-    read = once.withColumn("x", body).where(rules.any_match(F.col("x"), rules.STRONG_TERMS))
-    return facets.top_k(facets.count_values(read.withColumn("s", rules.tags(F.col("x"), rules.SKILLS)), "s", multi=True), 20)
+    read = rules.with_lines(jobs.select("row_id", key.alias("key"), body.alias("x")), {"line": F.col("x")})
+    kept = read.where(rules.any_match(F.col("x"), rules.STRONG_TERMS, F.col("line"))).select("row_id", "key", rules.tags(F.col("x"), rules.SKILLS, line=F.col("line")).alias("s"))
+    once = kept.groupBy("key").agg(F.min_by("s", "row_id").alias("s"))
+    return facets.top_k(facets.count_values(once, "s", multi=True), 20)

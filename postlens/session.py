@@ -38,5 +38,10 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def shuffle_width(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores, where a small input has fewer partitions than there are cores; else as they are.
+
+    For work that takes long per row.  Large inputs are never shuffled by this.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
