@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import html
+import json
 import re
+from html.entities import html5
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -12,16 +14,44 @@ from pyspark.sql import functions as F
 
 from postlens.functions.rules import CITY_COUNTRY, NO_PLACE_TEXT, PLACE_ALIASES, lookup, matches
 
-# Entities that the built-in variant decodes.
-_ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&nbsp;": " ", "&#160;": " ", "&amp;": "&"}
+def _reference(codes: Column) -> Column:
+    """Characters of numeric references: code points, those of the C1 range as in windows-1252, U+FFFD for impossible ones."""
+    c1 = [bytes([b]).decode("cp1252", "replace") if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D) else chr(b) for b in range(0x80, 0xA0)]
+    char = F.decode(F.unhex(F.lpad(F.hex(codes), 8, "0")), "UTF-32")
+    # control characters and code points without a character vanish
+    nothing = codes.between(1, 8) | (codes == 11) | codes.between(14, 31) | (codes == 127) | codes.between(0xFDD0, 0xFDEF) | (codes.bitwiseAND(F.lit(0xFFFE)) == 0xFFFE)
+    lost = (codes == 0) | codes.between(0xD800, 0xDFFF) | (codes > 0x10FFFF)
+    return F.when(lost, F.lit("\ufffd")).when(codes.between(0x80, 0x9F), F.get(F.lit(c1), (codes - 0x80).cast("int"))).when(nothing, F.lit("")).otherwise(char)
+
+
+def unescape(c: Column) -> Column:
+    """Character references of HTML decoded, all named and numeric ones, once; the rules are those of html.unescape.
+
+    Texts without an ampersand pass at once.  A reference of over 15 digits is left as it is.
+    """
+    names = F.from_json(F.lit(json.dumps({k[:-1]: v for k, v in html5.items() if k.endswith(";")})), "map<string,string>")
+    loose = F.from_json(F.lit(json.dumps({k: v for k, v in html5.items() if not k.endswith(";")})), "map<string,string>")
+    prefix = "^(" + "|".join(sorted((k for k in html5 if not k.endswith(";")), key=lambda k: (-len(k), k))) + ")"
+
+    def decoded(piece: Column) -> Column:
+        tenth, hexed = F.regexp_extract(piece, r"^#([0-9]{1,15})(?![0-9])", 1), F.regexp_extract(piece, r"^#[xX]([0-9a-fA-F]{1,12})(?![0-9a-fA-F])", 1)
+        code = F.when(tenth != "", tenth.try_cast("bigint")).when(hexed != "", F.conv(hexed, 16, 10).try_cast("bigint"))
+        named = F.try_element_at(names, F.regexp_extract(piece, r"^([A-Za-z][A-Za-z0-9]{1,40});", 1))
+        begun = F.regexp_extract(piece, prefix, 1)
+        return (
+            F.when(code.isNotNull(), F.concat(_reference(code), F.regexp_replace(piece, r"^#(?:[xX][0-9a-fA-F]+|[0-9]+);?", "")))
+            .when(named.isNotNull(), F.concat(named, F.regexp_replace(piece, r"^[A-Za-z0-9]+;", "")))
+            .when(begun != "", F.concat(F.try_element_at(loose, begun), F.substr(piece, F.length(begun) + 1)))
+            .otherwise(F.concat(F.lit("&"), piece))
+        )
+
+    pieces = F.transform(F.split(c, "&"), lambda p, i: F.when(i == 0, p).otherwise(decoded(p)))
+    return F.when(c.contains("&"), F.array_join(pieces, "")).otherwise(c)
 
 
 def normalize_space(c: Column) -> Column:
     """Entities decoded, white space of all kinds as single blanks, trimmed; null gives ``""``."""
-    out = F.coalesce(c.cast("string"), F.lit(""))
-    for entity, char in _ENTITIES.items():
-        out = F.replace(out, F.lit(entity), F.lit(char))
-    return F.trim(F.regexp_replace(out, r"(?U)\s+", " "))
+    return F.trim(F.regexp_replace(unescape(F.coalesce(c.cast("string"), F.lit(""))), r"(?U)\s+", " "))
 
 
 def html_text(c: Column) -> Column:

@@ -40,9 +40,12 @@ def q(value: str) -> str:
 
 
 def sql_space(x: str) -> str:
-    out = f"coalesce({x}, '')"
-    for entity, char in text._ENTITIES.items():
-        out = f"replace({out}, {q(entity)}, {q(char)})"
+    """Decimal, hexadecimal and the usual named references decoded in one pass, then white space."""
+    named = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": "\u00a0", "euro": "\u20ac", "copy": "\u00a9", "reg": "\u00ae", "auml": "\u00e4", "ouml": "\u00f6", "uuml": "\u00fc", "szlig": "\u00df", "eacute": "\u00e9", "ndash": "\u2013", "mdash": "\u2014", "hellip": "\u2026", "bull": "\u2022"}
+    cases = " ".join(f"WHEN starts_with(e, '{n};') THEN {q(c)} || substr(e, {len(n) + 2})" for n, c in named.items())
+    piece = f"""CASE WHEN k = 1 THEN e WHEN regexp_matches(e, '^#[0-9]{{1,6}};') THEN chr(CAST(regexp_extract(e, '^#([0-9]+);', 1) AS INTEGER)) || regexp_replace(e, '^#[0-9]+;', '')
+ WHEN regexp_matches(e, '^#[xX][0-9a-fA-F]{{1,5}};') THEN chr(CAST('0x' || regexp_extract(e, '^#[xX]([0-9a-fA-F]+);', 1) AS INTEGER)) || regexp_replace(e, '^#[xX][0-9a-fA-F]+;', '') {cases} ELSE '&' || e END"""
+    out = f"array_to_string(list_transform(string_split(coalesce({x}, ''), '&'), lambda e, k: {piece}), '')"
     return f"trim(regexp_replace({out}, {q(_SPACES)}, ' ', 'g'))"
 
 
@@ -204,7 +207,15 @@ def classify_focus_docs(spark, d):
     return docs.select("doc_id", enrich.focus(F.col("t"), F.col("x"), F.col("modules"), corrected=True, title_line=F.col("tl"), line=F.col("line")).alias("focus"))
 
 
-@query()
+_JOB = f"""SELECT row_id, coalesce(nullif(trim(linkedin_job_id), ''), {sql_stable('title', 'company', 'location', 'url')}) AS id, {sql_space('location')} AS l, {sql_space('title')} AS t, {sql_html('description')} AS b,
+ trim(concat_ws(' ', {sql_space('title')}, {sql_space('company')}, {sql_html('description')})) AS x FROM linkedin_jobs"""
+_ANY = "(" + " OR ".join(sql_match("x", p) for p in rules.STRONG_TERMS.values()) + ")"
+
+
+@query(f"""WITH j AS MATERIALIZED ({_JOB}) SELECT row_id, id, CASE WHEN l = '' OR {sql_match('l', rules.NO_PLACE_TEXT)} THEN 'Not specified' ELSE l END AS primary_location,
+ {sql_first(rules.ROLE_RULES, {'title': 't', 'text': 'x'}, rules.OTHER_ROLE)} AS role_family, {sql_first(rules.SENIORITY_RULES, {'sample': "(t || ' ' || substr(b, 1, 1000))"}, rules.NO_SENIORITY)} AS seniority,
+ CASE WHEN {sql_match('t', rules.TITLE_CORE)} AND {sql_match('t', rules.TITLE_DELIVERY)} THEN 'Core SAP delivery role' WHEN {sql_match('t', rules.TITLE_CORE)} THEN 'SAP-titled role'
+ WHEN {sql_tags('x', rules.MODULES)} != '' THEN 'SAP module/technical requirement' ELSE 'SAP mentioned' END AS sap_focus, {sql_tags('x', rules.SKILLS)} AS skills FROM j WHERE {_ANY}""")
 def classified_jobs(spark, d):
     made = enrich.classify(spread(table(spark, d, "linkedin_jobs")), job_id="linkedin_job_id", only_matching=True)
     return made.select("row_id", "id", "primary_location", "role_family", "seniority", "sap_focus", F.array_join("skills", "; ").alias("skills"))
@@ -537,7 +548,9 @@ def merged_lists_jobs(spark, d):
     return met.select("row_id", F.array_join(lists, ";").alias("workers"))
 
 
-@query()
+@query(f"""WITH j AS MATERIALIZED ({_JOB}), m AS MATERIALIZED (SELECT row_id, id, x FROM j WHERE {_ANY}),
+s AS (SELECT id, arg_min([{', '.join(f"CASE WHEN {sql_match('x', p)} THEN {q(label)} END" for label, p in rules.SKILLS.items())}], row_id) AS s FROM m GROUP BY id), c AS (SELECT label, count(*) AS n FROM (SELECT unnest(s) AS label FROM s) WHERE label IS NOT NULL GROUP BY 1)
+SELECT label, n, round(n / sum(n) OVER (), 4) AS share FROM c ORDER BY n DESC, label LIMIT 20""")
 def flagship(spark, d):
     """Skills asked for most in the link pool: filtered, tagged, deduplicated by posting, counted.
 

@@ -183,3 +183,17 @@ def test_salary_state(spark):
     state = lambda low, body: spark.createDataFrame([(low, body)], "a string, b string").select(enrich.salary_state(F.col("a"), F.lit(None).cast("string"), F.col("b")).alias("s")).first()["s"]
     assert state("0", "salary range up to $ 5") == "Mentioned in text"
     assert (state("0.0", None), state(None, None), state("", "x")) == ("Disclosed", "Not disclosed", "Not disclosed")
+
+
+def test_unescape_equals_html_unescape(spark):
+    import html
+
+    rng = random.Random(1)
+    pool = [
+        "&amp;", "&amp", "&#38;", "&#38", "&#x26;", "&#X26", "&lt;b&gt;", "&nbsp;", "&notit;", "&not", "&copy2", "&currentJobId=1", "&unknown;", "&", "&&", "&#0;", "&#128;", "&#x81;", "&#55296;",
+        "&#99999999;", "&#1;", "&#xFFFF;", "&hellip;", "&eacute", "&Eacute;", " x", "&#;", "&#x;", "R&D", "&;", "&amp;lt;", "&fjlig;", "&#31;", "&#9;", "&#13;", "&#128512;", "é",
+    ]
+    texts = [*pool, *("".join(rng.choice(pool) for _ in range(rng.randint(1, 6))) for _ in range(800))]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, None])], "i int, t string")
+    got = {r["i"]: r["u"] for r in df.select("i", text.unescape(F.col("t")).alias("u")).collect()}
+    assert [got[i] for i in range(len(texts))] == [html.unescape(t) for t in texts] and got[len(texts)] is None
