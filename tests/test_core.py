@@ -1,5 +1,7 @@
 """Cleaning, rules, dedupe, merges, facets, grids, history, report."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
