@@ -7,7 +7,7 @@ name: title and company form one pair of values, the parts of the location anoth
 parameters of the url a third.  Every pair is hashed, and the hashes are *added*: the sum is a
 multiset hash, the same for any order, so nothing is sorted.  Two independent 64-bit sums make
 the fingerprint.  Rows meet by fingerprint, the first row of each fingerprint is found by a
-map-side combined minimum, and each row's pairs are compared with the first row's pairs as
+map-side combined minimum of numbers, and each row's pairs are compared with the first row's pairs as
 multisets before it counts as a copy; rows that fail (two records with one fingerprint) are
 grouped by their pairs themselves.
 """
@@ -23,6 +23,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from postlens.session import written
+
 _JUNK = re.compile(r"[^\w]|_")
 _PARTS = re.compile(r"[,;/|•·\n]+")
 #: What stands for a null; no normalised value holds this character.
@@ -101,28 +103,28 @@ def fingerprints(rows: DataFrame, key: str, title: str, company: str, location:
 
 
 def copy_groups(rows: DataFrame, key: str = "row_id", title: str = "title", company: str = "company", location: str = "location", url: str = "url") -> DataFrame:
-    """``key``, ``first_key``: each row with the smallest key of its group (its own for the first).
+    """``key``, ``first_key``: each row that shares its fingerprint with others, with the smallest key of
+    its group (its own for the first).  Rows with a fingerprint of their own are left out.
 
     Nulls equal only nulls; an empty or all-punctuation value is a value of its own, not a null.
-    Repeated keys each stay a row.  A fingerprint that a third of all rows share costs one partial
-    minimum per task; the join's side of first rows has one row per fingerprint with copies, so a
-    hot fingerprint is split by the skew-join rule without growing the other side.
+    Repeated keys each stay a row.  The bags are made once and written to the shared folder.  A
+    fingerprint that a third of all rows share costs one partial minimum per task; in the join its
+    rows are split by the skew-join rule, and its side of first rows has one row.
     """
-    prints = fingerprints(rows, key, title, company, location, url)
-    first = (
-        prints.groupBy("f1", "f2")
-        .agg(F.count("*").alias("_n"), F.min_by(F.struct("who", "place", "link"), F.col(key)).alias("_bags"), F.min(key).alias("_first"))
-        .where("_n > 1")
-        .select(F.col("f1").alias("_f1"), F.col("f2").alias("_f2"), "_bags", "_first")
-    )
-    met = prints.join(first, (prints["f1"] == first["_f1"]) & (prints["f2"] == first["_f2"]), "left")
-    equal = _same_bag(F.col("who"), F.col("_bags.who")) & _same_bag(F.col("place"), F.col("_bags.place")) & _same_bag(F.col("link"), F.col("_bags.link"))
-    met = met.withColumn("_ok", F.coalesce(equal, F.lit(True)))
-    agreed = met.where("_ok").select(key, F.coalesce("_first", key).alias("first_key"))
+    prints = written(fingerprints(rows.withColumn("_key", F.col(key)), "_key", title, company, location, url))
+    groups = prints.groupBy("f1", "f2").agg(F.count("*").alias("n"), F.min("_key").alias("first_key")).where("n > 1")
+    # the bags of each group's first row; hashed joins, so that no record is sorted
+    bags = [F.col(c).alias(f"_{c}") for c in ("who", "place", "link")]
+    leads = prints.select(F.col("_key").alias("_lead"), F.col("f1").alias("_l1"), F.col("f2").alias("_l2"), *bags)
+    first = groups.hint("shuffle_hash").join(leads, (F.col("first_key") == F.col("_lead")) & (F.col("f1") == F.col("_l1")) & (F.col("f2") == F.col("_l2")))
+    first = first.select("_l1", "_l2", "first_key", "_who", "_place", "_link").dropDuplicates(["_l1", "_l2"])
+    met = prints.join(first.hint("shuffle_hash"), (F.col("f1") == F.col("_l1")) & (F.col("f2") == F.col("_l2")))
+    equal = _same_bag(F.col("who"), F.col("_who")) & _same_bag(F.col("place"), F.col("_place")) & _same_bag(F.col("link"), F.col("_link"))
+    agreed = met.where(equal).select(F.col("_key").alias(key), "first_key")
     # two different records with one 128-bit fingerprint: hardly ever a row, but it must not be lost
-    odd = met.where("NOT _ok").select(key, F.array_sort("who").alias("who"), F.array_sort("place").alias("place"), F.array_sort("link").alias("link"))
-    firsts = odd.groupBy("who", "place", "link").agg(F.min(key).alias("first_key"))
-    return agreed.unionByName(odd.join(firsts, ["who", "place", "link"]).select(key, "first_key"))
+    odd = met.where(~equal).select("_key", F.array_sort("who").alias("who"), F.array_sort("place").alias("place"), F.array_sort("link").alias("link"))
+    firsts = odd.groupBy("who", "place", "link").agg(F.min("_key").alias("first_key"))
+    return agreed.unionByName(odd.join(firsts, ["who", "place", "link"]).select(F.col("_key").alias(key), "first_key"))
 
 
 def copy_pairs(rows: DataFrame, **columns: str) -> DataFrame:
@@ -135,7 +137,10 @@ def copy_pairs(rows: DataFrame, **columns: str) -> DataFrame:
 def collapse(rows: DataFrame, **columns: str) -> DataFrame:
     """The first row of each group as it is, with ``n_copies`` (1: it has no copy; a column of that name is replaced)."""
     key = columns.get("key", "row_id")
-    sizes = copy_groups(rows, **columns).groupBy("first_key").agg(F.count("*").alias("_n_copies")).withColumnRenamed("first_key", "_first_of_copies")
+    groups = copy_groups(rows, **columns).select(F.col(key).alias("_member"), F.col("first_key").alias("_first")).groupBy("_member", "_first").agg(F.count("*").alias("_times"))
+    sizes = groups.groupBy("_first").agg(F.sum("_times").alias("_n_copies"))
     kept = [c for c in rows.columns if c != "n_copies"]
     once = rows.dropDuplicates([key])
-    return once.join(sizes, once[key] == sizes["_first_of_copies"]).select(*[once[c] for c in kept], F.col("_n_copies").alias("n_copies"))
+    known = groups.select("_member", "_first").join(sizes, "_first")
+    met = once.join(known, once[key] == known["_member"], "left").where(F.col("_first").isNull() | (F.col("_first") == once[key]))
+    return met.select(*[once[c] for c in kept], F.coalesce("_n_copies", F.lit(1)).alias("n_copies"))
