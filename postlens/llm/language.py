@@ -1,8 +1,9 @@
 """Language of documents and of their stretches by error-correcting output codes (problem 9).
 
 Each language has a codeword of 15 bits, any two of which differ in 8.  Every bit is predicted by
-a binary classifier over hashed character n-grams: the log ratio of an n-gram's frequency in the
-languages whose bit is one to that in the others.  A sentence's margins for all bits are decoded by
+a binary classifier over hashed character n-grams of the words (with their ends): the log ratio of an
+n-gram's frequency in the languages whose bit is one to that in the others.  What a word adds to
+the 15 margins is worked out once and kept while a worker lives.  A sentence's margins for all bits are decoded by
 the loss they give each codeword; the nearest codeword wins, the losses give a confidence, and
 sentences whose two nearest codewords are about as near are flagged as ambiguous.
 
@@ -16,7 +17,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +35,8 @@ NOTATIONS = {
     "nl": "nl nld dut dutch nederlands niederländisch niederlandisch néerlandais neerlandais neerlandés neerlandes holandés holandes holandês flemish vlaams olandese",
 }
 
-#: Sentences that are hashed together.
-PART = 200
+#: Words that a worker keeps at most.
+KEPT_WORDS = 300_000
 BITS = 16  # of the buckets that n-grams are hashed to
 _SIZES = (1, 2, 3, 4)
 _MULT = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5], dtype=np.uint64)
@@ -45,6 +45,7 @@ _INVISIBLE = re.compile("[­​-‏⁠﻿]")
 _BREAK = re.compile(r"(?<=[.!?…])[\"'»”)]*\s+|(?<=:)\s+")
 _CODE = re.compile(r"[_=@{}\[\]#~^|]|->|://|www\.")
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
+_STOP = re.compile(r"[.!?…][\"'»”)\s]*$")
 
 
 def language_of(label: Column) -> Column:
@@ -77,6 +78,7 @@ def sentences(text: str, title: str | None = None) -> list[tuple[int, int]]:
     four of them in lower case, and no colon at its end as headings have.
     """
     found = []
+    odd = _INVISIBLE.search(text) is not None
     norm_title = " ".join(_WORD.findall(title.casefold())) if title else None
     # tags keep their length as blanks so that places stay those of the text; block ends break lines
     bare = _TAG.sub(lambda m: " " * (len(m[0]) - 1) + ("\n" if re.match(r"</?(?:p|li|div|br|ul|ol|h\d|tr|td|table)\b", m[0], re.I) else " "), text)
@@ -89,7 +91,7 @@ def sentences(text: str, title: str | None = None) -> list[tuple[int, int]]:
         pos = 0
         for m in [*_BREAK.finditer(line), None]:
             end = m.start() if m else len(line)
-            piece = _INVISIBLE.sub("", line[pos:end])
+            piece = _INVISIBLE.sub("", line[pos:end]) if odd else line[pos:end]
             words = _WORD.findall(piece)
             if _is_sentence(piece, words) and " ".join(words).casefold() != norm_title:
                 found.append((start + pos, start + end))
@@ -100,16 +102,25 @@ def sentences(text: str, title: str | None = None) -> list[tuple[int, int]]:
 def _is_sentence(piece: str, words: list[str]) -> bool:
     if len(words) < 3 or sum(map(len, words)) < 10 or _CODE.search(piece):
         return False
-    small = sum(w[0].islower() for w in words)
-    if not re.search(r"[.!?…][\"'»”)\s]*$", piece):
-        return len(words) >= 6 and small >= 4 and not piece.rstrip().endswith(":")
-    return small >= 2 or (len(words) >= 5 and sum(w.isupper() for w in words) >= 0.7 * len(words))
+    stopped = _STOP.search(piece) is not None
+    wanted, small = 2 if stopped else 4, 0
+    for w in words:
+        if w[0].islower():
+            small += 1
+            if small == wanted:
+                break
+    if not stopped:
+        return len(words) >= 6 and small >= wanted and not piece.rstrip().endswith(":")
+    return small >= wanted or (len(words) >= 5 and sum(w.isupper() for w in words) >= 0.7 * len(words))
 
 
-def buckets(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed n-grams of texts in lower case, and where each text's begin; words are parted by one blank."""
-    clean = [" " + " ".join(_WORD.findall(_INVISIBLE.sub("", t).lower())) + " " for t in texts]
-    joined = "\n".join(clean) + "\n"
+def words_of(text: str) -> list[str]:
+    return _WORD.findall(_INVISIBLE.sub("", text).lower())
+
+
+def buckets(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed n-grams of words with a blank at either end, and where each word's begin."""
+    joined = "\n".join(f" {w} " for w in words) + "\n"
     codes = np.frombuffer(joined.encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
     doc = np.cumsum(codes == 10) - (codes == 10)
     parts, owners = [], []
@@ -124,30 +135,50 @@ def buckets(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         owners.append(doc[:total][inside])
     owner, bucket = np.concatenate(owners), np.concatenate(parts)
     order = np.argsort(owner, kind="stable")
-    return bucket[order], np.searchsorted(owner[order], np.arange(len(texts)))
+    return bucket[order], np.searchsorted(owner[order], np.arange(len(words)))
 
 
-@dataclass
 class Model:
     """Weights of the bits' classifiers (buckets x bits) and the scale of their margins."""
 
-    weights: np.ndarray
-    scale: float
-    code: np.ndarray
+    def __init__(self, weights: np.ndarray, scale: float, code: np.ndarray):
+        self.weights, self.scale, self.code = weights, scale, code
+        self.forget()
+
+    def forget(self) -> None:
+        self.place: dict[str, int] = {}
+        self.sums, self.sizes = np.zeros((0, self.code.shape[1]), np.float32), np.zeros(0, np.int64)
+
+    def __getstate__(self) -> dict:
+        return {"weights": self.weights, "scale": self.scale, "code": self.code}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__init__(**state)
+
+    def _learn(self, words: list[str]) -> None:
+        """Sums of the words' weights, and how many n-grams they have."""
+        at, b = len(self.place), None
+        for i in range(0, len(words), 5000):
+            part = words[i : i + 5000]
+            b, start = buckets(part)
+            self.sums = np.concatenate([self.sums, np.add.reduceat(self.weights[b], start, axis=0)])
+            self.sizes = np.concatenate([self.sizes, np.diff(np.append(start, len(b)))])
+        self.place.update((w, at + k) for k, w in enumerate(words))
 
     def margins(self, texts: list[str]) -> np.ndarray:
-        parts = [buckets(texts[at : at + PART]) for at in range(0, len(texts), PART)]
-        return self.margins_of(parts)
-
-    def margins_of(self, parts: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-        out = []
-        for b, start in parts:
-            size = np.diff(np.append(start, len(b)))
-            some, m = size > 0, np.zeros((len(start), self.code.shape[1]), np.float32)
-            if some.any():
-                m[some] = np.add.reduceat(self.weights[b], start[some], axis=0) / np.sqrt(size[some])[:, None]
-            out.append(m)
-        return np.tanh(np.concatenate(out) * self.scale)
+        lists = [words_of(t) for t in texts]
+        if len(self.place) > KEPT_WORDS:
+            self.forget()
+        fresh = [w for w in dict.fromkeys(w for ws in lists for w in ws) if w not in self.place]
+        if fresh:
+            self._learn(fresh)
+        count = np.fromiter(map(len, lists), np.int64, len(lists))
+        place = np.fromiter((self.place[w] for ws in lists for w in ws), np.int64, int(count.sum()))
+        start, some = np.cumsum(count) - count, count > 0
+        m = np.zeros((len(lists), self.code.shape[1]), np.float32)
+        if some.any():
+            m[some] = np.add.reduceat(self.sums[place], start[some], axis=0) / np.sqrt(np.add.reduceat(self.sizes[place], start[some]))[:, None]
+        return np.tanh(m * self.scale)
 
     def decode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Language numbers and confidences: the codeword with the least exponential loss."""
@@ -165,23 +196,26 @@ class Model:
 
 def fit(texts: list[str], labels: np.ndarray) -> Model:
     """Fit the bits' classifiers on sentences with (noisy) language numbers, thrice."""
-    code = codewords()
-    parts = [buckets(texts[at : at + PART]) for at in range(0, len(texts), PART)]
-    parts = [(b.astype(np.uint16), start) for b, start in parts]
+    code, n = codewords(), len(LANGUAGES)
+    lists = [words_of(t) for t in texts]
+    vocabulary = {w: k for k, w in enumerate(dict.fromkeys(w for ws in lists for w in ws))}
+    b, start = buckets(list(vocabulary)) if vocabulary else (np.empty(0, np.int64), np.empty(0, np.int64))
+    gram_word = np.repeat(np.arange(len(vocabulary)), np.diff(np.append(start, len(b))))
+    place = np.fromiter((vocabulary[w] for ws in lists for w in ws), np.int64)
+    owner = np.repeat(np.arange(len(texts)), [len(ws) for ws in lists])
     keep = np.ones(len(texts), bool)
     for _ in range(3):
-        counts = np.zeros(len(LANGUAGES) << BITS)
-        for k, (b, start) in enumerate(parts):
-            here = slice(k * PART, k * PART + len(start))
-            owner = np.repeat(np.where(keep[here], labels[here], -1), np.diff(np.append(start, len(b))))
-            counts += np.bincount((owner[owner >= 0] << BITS) + b[owner >= 0], minlength=len(counts))
-        counts = counts.reshape(len(LANGUAGES), -1)
+        counts = np.zeros((n, 1 << BITS))
+        for k in range(n):
+            often = np.bincount(place[(keep & (labels == k))[owner]], minlength=len(vocabulary)) if len(place) else np.zeros(0)
+            counts[k] = np.bincount(b, weights=often[gram_word].astype(float), minlength=1 << BITS)
         share = (counts + 0.05) / (counts.sum(axis=1, keepdims=True) + 0.05 * (1 << BITS))
-        weights = np.stack([np.log(share[code[:, b] > 0].mean(axis=0)) - np.log(share[code[:, b] < 0].mean(axis=0)) for b in range(code.shape[1])], axis=1)
+        weights = np.stack([np.log(share[code[:, c] > 0].mean(axis=0)) - np.log(share[code[:, c] < 0].mean(axis=0)) for c in range(code.shape[1])], axis=1)
         model = Model(weights.astype(np.float32), 0.05, code)
-        if parts:
-            best, sure = model.nearest(model.margins_of(parts))
+        if texts:
+            best, sure = model.decode(texts)
             keep = (best == labels) & (sure > 0.6)
+    model.forget()
     return model
 
 
@@ -258,13 +292,18 @@ def segments(rows: DataFrame, key: str, text: str, model: Model, title: str | No
 
 
 def document_languages(found: DataFrame, key: str) -> DataFrame:
-    """``key``, ``lang`` (of most sentences), ``confidence``, ``n_languages``; null, 0 and 0 without a sentence."""
-    per = found.select(key, F.explode_outer("segments").alias("s")).groupBy(key, F.col("s.lang").alias("lang")).agg(F.sum("s.n_sentences").alias("n"), F.sum(F.col("s.confidence") * F.col("s.n_sentences")).alias("c"))
-    return per.groupBy(key).agg(
-        F.max_by("lang", F.struct("n", "c", "lang")).alias("lang"),
-        F.coalesce(F.max_by(F.col("c"), F.struct("n", "c", "lang")) / F.sum("n"), F.lit(0.0)).alias("confidence"),
-        F.count("lang").alias("n_languages"),
-    )
+    """``key``, ``lang`` (of most sentences), ``confidence``, ``n_languages`` of each row, from its own segments; null, 0 and 0 without a sentence."""
+    none, segments_ = F.lit(0.0), F.col("segments")
+    total = F.aggregate(segments_, F.lit(0).cast("bigint"), lambda a, s: a + s["n_sentences"])
+
+    def of(lang: str) -> Column:
+        mine = F.filter(segments_, lambda s: s["lang"] == lang)
+        n = F.aggregate(mine, F.lit(0).cast("bigint"), lambda a, s: a + s["n_sentences"])
+        return F.struct(n.alias("n"), F.aggregate(mine, none, lambda a, s: a + s["confidence"] * s["n_sentences"]).alias("c"), F.lit(lang).alias("lang"))
+
+    scored = found.select(key, total.alias("total"), F.filter(F.array(*map(of, LANGUAGES)), lambda x: x["n"] > 0).alias("per"))
+    best = F.array_max("per")
+    return scored.select(key, best["lang"].alias("lang"), F.coalesce(best["c"] / F.nullif("total", F.lit(0)), none).alias("confidence"), F.size("per").cast("bigint").alias("n_languages"))
 
 
 def wrong_labels(found: DataFrame, labels: DataFrame, key: str, label: str) -> DataFrame:
