@@ -10,7 +10,9 @@ large sets have the same key in a band with about the probability J**depth, and
 1 - (1 - J**depth)**trees; texts that share little meet hardly ever.
 
 1. paths: per text, the ``depth`` smallest grams under each order, hashed to one node key.
-2. pairs: node keys are shuffled and sorted; texts below one node are candidates.
+2. pairs: node keys are shuffled and sorted; texts below one node are candidates.  A node with over
+   CROWD texts is no task's burden: its texts are dealt to the cells of a grid, every two of them
+   to a common cell, and the cells are shuffled again.
 3. verification: both texts' exact n-gram sets are merged; a pair is dropped at once where the
    length bound shows that even full overlap of the rest can't reach the similarity.
 
@@ -37,6 +39,11 @@ from postlens.session import cut
 #: Sets smaller than this have short paths as well (so have their largest possible partners).
 SMALL = 20
 _COPIES = np.uint64(0x5851F42D4C957F2D)
+#: Bits of a node's key; two nodes with one key only make more candidates.
+NODE_BITS = 44
+NODE_MASK = np.uint64((1 << NODE_BITS) - 1)
+#: Texts of a node that one task pairs, and the sides of the grid for larger nodes.
+CROWD, SIDES = 4096, 64
 
 
 def _paths(n: int, min_words: int, trees: int, depth: int, similarity: float):
@@ -79,57 +86,142 @@ def _paths(n: int, min_words: int, trees: int, depth: int, similarity: float):
                 if len(small):
                     found.append((node_keys(keys, sizes, small, 2, 1), ids[small]))
                 own = np.concatenate([ids, ids[often > 1]])
-                node = np.concatenate([*(k.ravel() for k, _ in found), mix(own ^ _COPIES)])
+                node = np.concatenate([*(k.ravel() for k, _ in found), mix(own ^ _COPIES)]) & NODE_MASK
                 text = np.concatenate([*(np.tile(i, trees) for _, i in found), own])
                 yield pa.RecordBatch.from_arrays([pa.array(node.view(np.int64)), pa.array(text.view(np.int64))], ["node", "t"])
 
     return run
 
 
-def _below_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of texts below the same node, from rows sorted by (node, t); (t, t) for a text with copies."""
-    carried: tuple[np.ndarray, np.ndarray] | None = None
+_PAIR = ["cell", "a", "b"]
 
-    def pairs(node: np.ndarray, t: np.ndarray) -> Iterator[pa.RecordBatch]:
-        copies = mix(t ^ _COPIES) == node
-        again = np.concatenate(([False], (node[1:] == node[:-1]) & (t[1:] == t[:-1])))
-        same = np.unique(t[again & copies])
-        keep = ~again
-        node, t = node[keep], t[keep]
-        edges = np.flatnonzero(np.concatenate(([True], node[1:] != node[:-1], [True])))
-        width = np.diff(edges)
-        left, right = [same], [same]
-        two = edges[:-1][width == 2]
-        left.append(t[two])
-        right.append(t[two + 1])
-        for start, size in zip(edges[:-1][width > 2], width[width > 2], strict=True):
-            members = t[start : start + size]
-            for i in range(size - 1):
-                left.append(np.repeat(members[i : i + 1], size - 1 - i))
-                right.append(members[i + 1 :])
-                if len(left) > 4096:
-                    yield make(np.concatenate(left), np.concatenate(right))
-                    left, right = [], []
-        if left:
-            yield make(np.concatenate(left), np.concatenate(right))
-
-    def make(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-        a, b = a.view(np.int64), b.view(np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
+def _rows(cell: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64, copy=False)) for x in (cell, a, b)], _PAIR)
+
+
+def _pairs(members: np.ndarray, others: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+    """All pairs of members, or of members with others; the cell of a pair is -1 less its hash, which brings equal ones together."""
+    left, right, size = [], [], 0
+    for i in range(len(members)):
+        mates = members[i + 1 :] if others is None else others
+        left.append(np.repeat(members[i : i + 1], len(mates)))
+        right.append(mates)
+        size += len(mates)
+        if size > 200_000 or i == len(members) - 1:
+            yield _as_pairs(np.concatenate(left), np.concatenate(right))
+            left, right, size = [], [], 0
+
+
+def _as_pairs(x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
+    a, b = np.minimum(x, y), np.maximum(x, y)
+    spread = mix(a.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ b.view(np.uint64))
+    return _rows(-1 - (spread >> np.uint64(2)).astype(np.int64), a, b)
+
+
+def _dealt(node: int, members: np.ndarray) -> pa.RecordBatch:
+    """Rows (cell, text, side) of a crowded node: each text goes to all cells of its row and column of the grid."""
+    side = (mix(members.view(np.uint64)) % np.uint64(SIDES)).astype(np.int64)
+    t, own = np.repeat(members, SIDES), np.repeat(side, SIDES)
+    other = np.tile(np.arange(SIDES), len(members))
+    low, high = np.minimum(own, other), np.maximum(own, other)
+    cell = (mix(np.uint64(node & (2**64 - 1)) + (low * SIDES + high).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(2)).astype(np.int64)
+    return _rows(cell, t, np.where(low == high, 2, (own == high).astype(np.int64)))
+
+
+class _Tail:
+    """The node that a batch ends in, whose texts may go on in the next one; a crowded one is dealt out as it comes."""
+
+    def __init__(self) -> None:
+        self.node: int | None = None
+        self.start(None)
+
+    def start(self, node: int | None) -> None:
+        self.node, self.members, self.size, self.crowded = node, [], 0, False
+
+    def add(self, t: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if not self.crowded:
+            self.members.append(t)
+            self.size += len(t)
+            if self.size <= CROWD:
+                return
+            self.crowded, t, self.members = True, np.concatenate(self.members), []
+        for at in range(0, len(t), CROWD):
+            yield _dealt(self.node, t[at : at + CROWD])
+
+    def close(self) -> Iterator[pa.RecordBatch]:
+        if self.size > 1 and not self.crowded:
+            yield from _pairs(np.concatenate(self.members))
+
+
+def _below_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(cell, a, b) from (node, t) sorted by both: pairs of the texts of a node, with a negative cell;
+    (t, t) for a text with copies; for a crowded node its texts by cells of the grid, see _dealt."""
+    tail, last = _Tail(), None
     for batch in batches:
         if not batch.num_rows:
             continue
-        node = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-        t = batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64)
-        if carried:
-            node, t = np.concatenate([carried[0], node]), np.concatenate([carried[1], t])
-        start = int(np.searchsorted(node.view(np.int64), node.view(np.int64)[-1], side="left"))
-        carried = (node[start:], t[start:])
-        if start:
-            yield from pairs(node[:start], t[:start])
-    if carried:
-        yield from pairs(*carried)
+        node, t = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(2))
+        again = np.concatenate(([last == (node[0], t[0])], (node[1:] == node[:-1]) & (t[1:] == t[:-1])))
+        last = (node[-1], t[-1])
+        copies = (mix(t.view(np.uint64) ^ _COPIES) & NODE_MASK).view(np.int64) == node
+        same = np.unique(t[again & copies])
+        if len(same):
+            yield _as_pairs(same, same)
+        node, t = node[~again], t[~again]
+        if not len(node):
+            continue
+        edges = np.flatnonzero(np.concatenate(([True], node[1:] != node[:-1], [True])))
+        begin = int(node[0] == tail.node)
+        if begin:
+            yield from tail.add(t[: edges[1]])
+        if begin < len(edges) - 1:
+            yield from tail.close()
+            starts, width = edges[begin:-2], np.diff(edges)[begin:-1]
+            two = starts[width == 2]
+            if len(two):
+                yield _as_pairs(t[two], t[two + 1])
+            for start, size in zip(starts[width > 2], width[width > 2], strict=True):
+                tail.start(int(node[start]))
+                yield from tail.add(t[start : start + size])
+                yield from tail.close()
+            tail.start(int(node[-1]))
+            yield from tail.add(t[edges[-2] :])
+    yield from tail.close()
+
+
+def _in_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(a, b): pairs as they come but for repetitions, and the pairs of each cell of a grid, from rows sorted by (cell, a, b)."""
+    cell, low, high = None, [], []
+
+    def emptied() -> Iterator[pa.RecordBatch]:
+        x, y = (np.unique(np.concatenate(v)) if v else np.empty(0, np.int64) for v in (low, high))
+        if len(x):
+            yield from _pairs(x, y if len(y) else None)
+
+    def ends(rows: pa.RecordBatch) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([rows.column(1), rows.column(2)], ["a", "b"])
+
+    for batch in batches:
+        c, a, b = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(3))
+        pair = c < 0
+        x, y = a[pair], b[pair]
+        if len(x):
+            fresh = np.concatenate(([True], (x[1:] != x[:-1]) | (y[1:] != y[:-1])))
+            yield pa.RecordBatch.from_arrays([pa.array(x[fresh]), pa.array(y[fresh])], ["a", "b"])
+        c, a, b = c[~pair], a[~pair], b[~pair]
+        edges = np.flatnonzero(np.concatenate(([True], c[1:] != c[:-1], [True]))) if len(c) else np.zeros(1, int)
+        for start, end in zip(edges[:-1], edges[1:], strict=True):
+            if cell is not None and c[start] != cell:
+                for rows in emptied():
+                    yield ends(rows)
+                low, high = [], []
+            cell = c[start]
+            # side 0 meets side 1; side 2 is a cell on the diagonal, where all meet all
+            low.append(a[start:end][b[start:end] != 1])
+            high.append(a[start:end][b[start:end] == 1])
+    for rows in emptied():
+        yield ends(rows)
 
 
 def _verify(n: int, similarity: float):
@@ -176,12 +268,13 @@ def similar_texts(rows: DataFrame, text: str, n: int = 5, similarity: float = 0.
     (a, a, 1.0) for each text that occurs more than once.
 
     Null texts and texts with fewer than ``min_words`` words take part in nothing; whole texts are
-    used, however long.  Ties don't exist.  All pairs returned are at or above the
-    similarity; a few of those that are can be missed (see above).
+    used, however long.  Ties don't exist.  Every pair that comes out is similar enough, by its exact
+    sets; a pair that is similar enough can be missed with the chances given above.
     """
     given = rows.where(F.col(text).isNotNull()).select(text_key(F.col(text)).alias("t"), F.col(text).alias("text"))
     nodes = given.mapInArrow(_paths(n, min_words, trees, depth, similarity), "node bigint, t bigint")
-    met = nodes.repartition("node").sortWithinPartitions("node", "t").mapInArrow(_below_nodes, "a bigint, b bigint").distinct()
+    dealt = nodes.repartition("node").sortWithinPartitions("node", "t").mapInArrow(_below_nodes, "cell bigint, a bigint, b bigint")
+    met = dealt.repartition("cell").sortWithinPartitions("cell", "a", "b").mapInArrow(_in_cells, "a bigint, b bigint").distinct()
     # (t, t) takes the same way without a text, so that the candidates are worked out once
     once, other = given.dropDuplicates(["t"]), F.col("a") != F.col("b")
     side = lambda name: once.select(F.col("t").alias(f"_{name}"), F.col("text").alias(f"text_{name}"))

@@ -4,6 +4,7 @@ import itertools
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -226,3 +227,32 @@ def test_chunks_come_back_after_an_edit():
     rest = [c for w in a.split("-") if w != "consultant" for c in incremental.chunks(w)]
     assert set(rest) <= set(incremental.chunks(a)) & set(incremental.chunks(b))
     assert incremental.edits("abcd", "abxd", 3) == 1 and incremental.edits("a", "abcdef", 3) == 4
+
+
+def test_crowded_nodes_give_all_pairs(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(neardup, "CROWD", 10)
+    monkeypatch.setattr(neardup, "SIDES", 4)
+    rng = np.random.default_rng(1)
+    rows = sorted((node, int(t)) for node, n in ((3, 57), (4, 1), (5, 2), (6, 10), (7, 11), (9, 300)) for t in rng.integers(-(2**62), 2**62, n))
+    rows = sorted([*rows, *rows[:5]])  # repeated rows
+    members = [sorted({t for n, t in rows if n == node}) for node in {n for n, _ in rows}]
+    want = {pair for ts in members for pair in itertools.combinations(ts, 2)}
+    for size in (1, 7, 64, 1000):
+        batches = [pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows[at : at + size]], pa.int64()) for k in (0, 1)], ["node", "t"]) for at in range(0, len(rows), size)]
+        dealt = sorted(r for b in neardup._below_nodes(iter(batches)) for r in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True))
+        cells = [pa.RecordBatch.from_arrays([pa.array([r[k] for r in dealt[at : at + size]], pa.int64()) for k in range(3)], ["cell", "a", "b"]) for at in range(0, len(dealt), size)]
+        got = {r for b in neardup._in_cells(iter(cells)) for r in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)}
+        assert got == want, size
+        grid = [c for c, _, _ in dealt if c >= 0]
+        assert max(grid.count(c) for c in set(grid)) < 300
+
+
+def test_text_shared_by_many_rows_and_pairs_equal_with_small_crowds(spark, monkeypatch):
+    """The operator gives the same whatever the size of a crowd (workers have the default, so plans are compared by their rows)."""
+    rows = [(i, " ".join(f"w{(i * 7 + k) % 23 if k < 40 else k}" for k in range(60))) for i in range(30)] + [(100 + i, " ".join(f"w{k}" for k in range(60))) for i in range(20)]
+    df = spark.createDataFrame(rows, "row_id bigint, text string")
+    got = {(r[0], r[1]) for r in neardup.similar_rows(df, "row_id", "text", n=3, similarity=0.7).collect()}
+    sets = {i: {tuple(t.split()[k : k + 3]) for k in range(58)} for i, t in rows}
+    assert got == {(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.7 * len(sets[a] | sets[b])}
