@@ -100,23 +100,53 @@ def _rows(cell: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64, copy=False)) for x in (cell, a, b)], _PAIR)
 
 
-def _pairs(members: np.ndarray, others: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
-    """All pairs of members, or of members with others; the cell of a pair is -1 less its hash, which brings equal ones together."""
-    left, right, size = [], [], 0
-    for i in range(len(members)):
-        mates = members[i + 1 :] if others is None else others
-        left.append(np.repeat(members[i : i + 1], len(mates)))
-        right.append(mates)
-        size += len(mates)
-        if size > 200_000 or i == len(members) - 1:
-            yield _as_pairs(np.concatenate(left), np.concatenate(right))
-            left, right, size = [], [], 0
+class _Pairs:
+    """Pairs on their way out, each once as far as one task sees: cell 0, the smaller text, the larger."""
 
+    SIZE = 500_000
 
-def _as_pairs(x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
-    a, b = np.minimum(x, y), np.maximum(x, y)
-    spread = mix(a.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ b.view(np.uint64))
-    return _rows(-1 - (spread >> np.uint64(2)).astype(np.int64), a, b)
+    def __init__(self) -> None:
+        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
+        self.size = 0
+
+    def add(self, x: np.ndarray, y: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if len(x):
+            self.parts.append((np.minimum(x, y), np.maximum(x, y)))
+            self.size += len(x)
+            if self.size >= self.SIZE:
+                yield from self.flush()
+
+    def flush(self) -> Iterator[pa.RecordBatch]:
+        if self.parts:
+            a, b = (np.concatenate(v) for v in zip(*self.parts, strict=True))
+            order = np.lexsort((b, a))
+            a, b = a[order], b[order]
+            fresh = np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
+            yield _rows(np.zeros(int(fresh.sum()), np.int64), a[fresh], b[fresh])
+            self.parts, self.size = [], 0
+
+    def among(self, members: np.ndarray, others: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+        """All pairs of members, or of members with others."""
+        for i in range(0, len(members), 64):
+            some = members[i : i + 64]
+            if others is not None:
+                yield from self.add(np.repeat(some, len(others)), np.tile(others, len(some)))
+                continue
+            x, y = np.triu_indices(len(some), 1)
+            yield from self.add(some[x], some[y])
+            rest = members[i + 64 :]
+            yield from self.add(np.repeat(some, len(rest)), np.tile(rest, len(some)))
+
+    def below(self, t: np.ndarray, starts: np.ndarray, width: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """All pairs of each run of t; runs of one width are taken together."""
+        for w in np.unique(width[width > 1]):
+            these = starts[width == w]
+            if w > 64:
+                for start in these:
+                    yield from self.among(t[start : start + w])
+                continue
+            x, y = np.triu_indices(w, 1)
+            yield from self.add(t[these[:, None] + x].ravel(), t[these[:, None] + y].ravel())
 
 
 def _dealt(node: int, members: np.ndarray) -> pa.RecordBatch:
@@ -125,15 +155,15 @@ def _dealt(node: int, members: np.ndarray) -> pa.RecordBatch:
     t, own = np.repeat(members, SIDES), np.repeat(side, SIDES)
     other = np.tile(np.arange(SIDES), len(members))
     low, high = np.minimum(own, other), np.maximum(own, other)
-    cell = (mix(np.uint64(node & (2**64 - 1)) + (low * SIDES + high).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(2)).astype(np.int64)
-    return _rows(cell, t, np.where(low == high, 2, (own == high).astype(np.int64)))
+    cell = mix(np.uint64(node & (2**64 - 1)) + (low * SIDES + high).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(2)
+    return _rows(cell.astype(np.int64) + 1, t, np.where(low == high, 2, (own == high).astype(np.int64)))
 
 
 class _Tail:
     """The node that a batch ends in, whose texts may go on in the next one; a crowded one is dealt out as it comes."""
 
-    def __init__(self) -> None:
-        self.node: int | None = None
+    def __init__(self, pairs: _Pairs) -> None:
+        self.pairs = pairs
         self.start(None)
 
     def start(self, node: int | None) -> None:
@@ -151,13 +181,14 @@ class _Tail:
 
     def close(self) -> Iterator[pa.RecordBatch]:
         if self.size > 1 and not self.crowded:
-            yield from _pairs(np.concatenate(self.members))
+            yield from self.pairs.among(np.concatenate(self.members))
 
 
 def _below_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(cell, a, b) from (node, t) sorted by both: pairs of the texts of a node, with a negative cell;
+    """(cell, a, b) from (node, t) sorted by both: pairs of the texts of a node, with cell 0;
     (t, t) for a text with copies; for a crowded node its texts by cells of the grid, see _dealt."""
-    tail, last = _Tail(), None
+    pairs, last = _Pairs(), None
+    tail = _Tail(pairs)
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -165,9 +196,8 @@ def _below_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         again = np.concatenate(([last == (node[0], t[0])], (node[1:] == node[:-1]) & (t[1:] == t[:-1])))
         last = (node[-1], t[-1])
         copies = (mix(t.view(np.uint64) ^ _COPIES) & NODE_MASK).view(np.int64) == node
-        same = np.unique(t[again & copies])
-        if len(same):
-            yield _as_pairs(same, same)
+        same = t[again & copies]
+        yield from pairs.add(same, same)
         node, t = node[~again], t[~again]
         if not len(node):
             continue
@@ -178,50 +208,45 @@ def _below_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if begin < len(edges) - 1:
             yield from tail.close()
             starts, width = edges[begin:-2], np.diff(edges)[begin:-1]
-            two = starts[width == 2]
-            if len(two):
-                yield _as_pairs(t[two], t[two + 1])
-            for start, size in zip(starts[width > 2], width[width > 2], strict=True):
+            for start, size in zip(starts[width > CROWD], width[width > CROWD], strict=True):
                 tail.start(int(node[start]))
                 yield from tail.add(t[start : start + size])
-                yield from tail.close()
+            yield from pairs.below(t, starts[width <= CROWD], width[width <= CROWD])
             tail.start(int(node[-1]))
             yield from tail.add(t[edges[-2] :])
     yield from tail.close()
+    yield from pairs.flush()
 
 
 def _in_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(a, b): pairs as they come but for repetitions, and the pairs of each cell of a grid, from rows sorted by (cell, a, b)."""
-    cell, low, high = None, [], []
+    pairs, cell, low, high = _Pairs(), None, [], []
+
+    def ends(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for r in rows:
+            yield pa.RecordBatch.from_arrays([r.column(1), r.column(2)], ["a", "b"])
 
     def emptied() -> Iterator[pa.RecordBatch]:
         x, y = (np.unique(np.concatenate(v)) if v else np.empty(0, np.int64) for v in (low, high))
         if len(x):
-            yield from _pairs(x, y if len(y) else None)
-
-    def ends(rows: pa.RecordBatch) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([rows.column(1), rows.column(2)], ["a", "b"])
+            # side 0 meets side 1; a cell without side 1 is on the diagonal, where all meet all
+            yield from pairs.among(x, y if diagonal is False else None)
 
+    diagonal = False
     for batch in batches:
         c, a, b = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(3))
-        pair = c < 0
-        x, y = a[pair], b[pair]
-        if len(x):
-            fresh = np.concatenate(([True], (x[1:] != x[:-1]) | (y[1:] != y[:-1])))
-            yield pa.RecordBatch.from_arrays([pa.array(x[fresh]), pa.array(y[fresh])], ["a", "b"])
-        c, a, b = c[~pair], a[~pair], b[~pair]
+        yield from ends(pairs.add(a[c == 0], b[c == 0]))
+        a, b, c = a[c > 0], b[c > 0], c[c > 0]
         edges = np.flatnonzero(np.concatenate(([True], c[1:] != c[:-1], [True]))) if len(c) else np.zeros(1, int)
         for start, end in zip(edges[:-1], edges[1:], strict=True):
-            if cell is not None and c[start] != cell:
-                for rows in emptied():
-                    yield ends(rows)
-                low, high = [], []
-            cell = c[start]
-            # side 0 meets side 1; side 2 is a cell on the diagonal, where all meet all
+            if c[start] != cell:
+                yield from ends(emptied())
+                cell, low, high = c[start], [], []
+            diagonal = bool(b[start] == 2)
             low.append(a[start:end][b[start:end] != 1])
             high.append(a[start:end][b[start:end] == 1])
-    for rows in emptied():
-        yield ends(rows)
+    yield from ends(emptied())
+    yield from ends(pairs.flush())
 
 
 def _verify(n: int, similarity: float):
@@ -274,7 +299,9 @@ def similar_texts(rows: DataFrame, text: str, n: int = 5, similarity: float = 0.
     given = rows.where(F.col(text).isNotNull()).select(text_key(F.col(text)).alias("t"), F.col(text).alias("text"))
     nodes = given.mapInArrow(_paths(n, min_words, trees, depth, similarity), "node bigint, t bigint")
     dealt = nodes.repartition("node").sortWithinPartitions("node", "t").mapInArrow(_below_nodes, "cell bigint, a bigint, b bigint")
-    met = dealt.repartition("cell").sortWithinPartitions("cell", "a", "b").mapInArrow(_in_cells, "a bigint, b bigint").distinct()
+    # equal pairs, and the texts of a cell, come together; a pair that two cells give meets itself only after them
+    together = F.when(F.col("cell") == 0, F.xxhash64("a", "b")).otherwise(F.col("cell"))
+    met = dealt.repartition(together).sortWithinPartitions("cell", "a", "b").mapInArrow(_in_cells, "a bigint, b bigint").distinct()
     # (t, t) takes the same way without a text, so that the candidates are worked out once
     once, other = given.dropDuplicates(["t"]), F.col("a") != F.col("b")
     side = lambda name: once.select(F.col("t").alias(f"_{name}"), F.col("text").alias(f"text_{name}"))
