@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Names of the feeds and providers in reports.
@@ -78,6 +78,33 @@ def percent(part: Column, total: Column) -> Column:
     return F.coalesce(F.round(F.try_divide(part * 100.0, total), 1), F.lit(0.0))
 
 
-def latest_first(rows: DataFrame, key: str, at: str) -> DataFrame:
-    """Rows numbered from the latest within each key of a small table."""
-    return rows.withColumn("n", F.row_number().over(Window.partitionBy(key).orderBy(F.desc(at))))
+def thousands(c: Column) -> Column:
+    """A whole number with commas between its thousands."""
+    return F.format_number(c.cast("bigint"), 0)
+
+
+def date_of(c: Column) -> Column:
+    """The date of an ISO stamp: its first ten characters; null for an empty one."""
+    return F.nullif(F.substring(F.coalesce(c, F.lit("")), 1, 10), F.lit(""))
+
+
+def history_counts(rows: DataFrame, value: str, date: str = "date") -> DataFrame:
+    """``date``, ``value`` of the snapshots that have a date and a value above 0."""
+    kept = rows.where((F.coalesce(F.col(date), F.lit("")) != "") & (F.coalesce(F.col(value), F.lit(0)) > 0))
+    return kept.select(F.col(date).alias("date"), F.col(value).cast("bigint").alias("value"))
+
+
+def choices(rows: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """``field``, ``value``: the different filled values of each column, sorted: what a table's filters offer."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).cast("string").alias("value")) for c in columns]))
+    return rows.select(pairs.alias("p")).select("p.field", "p.value").where("value IS NOT NULL AND value != ''").distinct().orderBy("field", "value")
+
+
+def in_link_order(rows: DataFrame) -> DataFrame:
+    """Rows by query, location, company and title; a missing value stands where an empty one does."""
+    return rows.orderBy(*[F.coalesce(F.col(c), F.lit("")) for c in ("query", "location", "company", "title")])
+
+
+def tables(summaries: dict[str, DataFrame], history: DataFrame) -> dict[str, DataFrame]:
+    """The report's tables by name: each pool's summary, and the history; what a page embeds."""
+    return {**{f"{name}_summary": s for name, s in summaries.items()}, "history": history}

@@ -197,3 +197,12 @@ def normalize_career(rows: DataFrame) -> DataFrame:
     kept = tidy.where("title != '' AND company != '' AND coalesce(url, '') != ''")
     out = kept.withColumn("locations", F.when(F.size(places) > 0, places).otherwise(F.array(fallback)))
     return out.withColumns({"id": text.stable_id(F.col("source"), F.col("url"), F.col("title"), F.col("company")), "primary_location": F.get("locations", F.lit(0))})
+
+
+#: Readers of the career systems by provider.
+PROVIDERS = {"jobs2web": jobs2web, "smartrecruiters": smartrecruiters, "greenhouse": greenhouse, "workday": workday}
+
+
+def career_sources(config: dict[str, list[dict]], allowed: set[str] | None = None) -> list[tuple[str, dict]]:
+    """(provider, source) of a configuration in its order; providers that are unknown, or not among the allowed, are passed over."""
+    return [(p, source) for p, sources in config.items() if p in PROVIDERS and (not allowed or p in allowed) for source in sources]

@@ -85,5 +85,35 @@ def write_snapshot(rows: DataFrame, path: str, date: str) -> None:
     dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("snapshot_date").parquet(path)
 
 
+def write_raw(dumps: DataFrame, path: str, source: str, date: str) -> None:
+    """A source's dump (one JSON text per row in ``value``) as it came, in the partition of its source and date."""
+    named = dumps.select("value", F.lit(source).alias("source"), F.lit(date).alias("date"))
+    named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source", "date").parquet(path)
+
+
+def write_tables(tables: dict[str, DataFrame], path: str) -> None:
+    """Named tables, each a folder of JSON rows below the path."""
+    for name, rows in tables.items():
+        write_json(rows, f"{path}/{name}")
+
+
+def write_snapshot_summary(summary: DataFrame, path: str, date: str) -> None:
+    """A pool's summary (section, label, value) as the partition of a date, beside the snapshot's rows."""
+    write_snapshot(summary, f"{path}/summary", date)
+
+
+def snapshot_index(spark: SparkSession, path: str) -> DataFrame:
+    """``date``, ``total``, ``top_modules``, ``top_locations`` of every snapshot with a summary, by date."""
+    from postlens.operators.facets import top_per_facet
+
+    rows = spark.read.parquet(f"{path}/summary").withColumn("date", F.col("snapshot_date").cast("string"))
+    counts = rows.where(F.col("section").isin("modules", "primary_locations")).select(F.concat_ws("|", "date", "section").alias("facet"), "label", F.col("value").cast("bigint").alias("n"))
+    best = top_per_facet(counts, 5).groupBy("facet").agg(F.map_from_entries(F.transform(F.array_sort(F.collect_list(F.struct("rank", "label", "n"))), lambda x: F.struct(x["label"], x["n"]))).alias("top"))
+    split = best.select(F.split_part("facet", F.lit("|"), F.lit(1)).alias("date"), F.split_part("facet", F.lit("|"), F.lit(2)).alias("section"), "top")
+    of = lambda section, name: split.where(F.col("section") == section).select("date", F.col("top").alias(name))
+    totals = rows.where("section = 'totals' AND label = 'sap_jobs_after_filter'").select("date", F.col("value").cast("bigint").alias("total"))
+    return totals.join(of("modules", "top_modules"), "date", "left").join(of("primary_locations", "top_locations"), "date", "left").orderBy("date")
+
+
 def snapshot_dates(spark: SparkSession, path: str) -> list[str]:
     return sorted(str(r[0]) for r in spark.read.parquet(path).select("snapshot_date").distinct().collect())
