@@ -91,6 +91,26 @@ def _parse_series(s: pd.Series) -> pd.Series:
     return s.map(lambda v: parsed_text(v if isinstance(v, str) else None))
 
 
+def flat_text(value: object) -> str:
+    """All texts of a JSON value, nested ones too, as one text; strings are read as HTML."""
+    if value is None or value == "":
+        return ""
+    if isinstance(value, str):
+        return parsed_text(value)
+    parts = value.values() if isinstance(value, dict) else value if isinstance(value, list) else None
+    joined = str(value or "") if parts is None else " ".join(map(flat_text, parts))
+    return re.sub(r"\s+", " ", html.unescape(joined)).strip()
+
+
+def _flatten_series(s: pd.Series) -> pd.Series:
+    return s.map(lambda v: flat_text(json.loads(v)) if isinstance(v, str) and v else "")
+
+
+def flatten_text(c: Column) -> Column:
+    """``flat_text`` of JSON texts, as an Arrow-batched function; null gives an empty text."""
+    return F.pandas_udf(_flatten_series, "string")(c)
+
+
 def stable_id(*parts: Column) -> Column:
     """First 16 hex digits of the SHA-1 of the normalised, lowered parts; null parts are left out."""
     return F.substring(F.sha1(F.concat_ws("|", *[F.when(p.isNotNull(), F.lower(normalize_space(p))) for p in parts])), 1, 16)

@@ -89,7 +89,7 @@ def _places(name: str) -> Column:
     raw = F.get_json_object("item", f"$.{name}")
     listed = F.from_json(raw, "array<string>")
     named = lambda x: F.when(x.startswith("{"), text.first_present(F.get_json_object(x, "$.name"), F.get_json_object(x, "$.country"), F.get_json_object(x, "$.location"))).otherwise(x)
-    return F.when(raw.startswith("["), text.clean_places(F.transform(listed, named))).otherwise(text.split_places(raw))
+    return F.when(raw.startswith("[") & listed.isNotNull(), text.clean_places(F.transform(listed, named))).otherwise(text.split_places(raw))
 
 
 def adapt(dumps: DataFrame, feed: Feed, order: int = 0) -> DataFrame:
@@ -158,10 +158,9 @@ def smartrecruiters(lists: DataFrame, details: DataFrame, key: str, source: str)
     met = items.withColumn("_id", ids).join(details.select(F.col("id").alias("_id"), F.col("value").alias("detail")), "_id", "left")
     either = lambda *paths: text.first_present(*[F.get_json_object(c, p) for c in ("detail", "item") for p in paths])
     place = text.first_present(either("$.location.fullLocation"), F.concat_ws(", ", either("$.location.city"), either("$.location.country")))
-    sections = F.from_json(either("$.jobAd.sections"), "map<string,string>")
-    body = F.concat_ws(" ", F.transform(F.map_values(sections), lambda s: F.coalesce(F.get_json_object(s, "$.text"), s)))
+    body = text.flatten_text(either("$.jobAd"))
     url = text.first_present(either("$.postingUrl"), either("$.ref"))
-    return _row(met, "smartrecruiters", key, source, either("$.company.name"), either("$.name"), place, url, text.html_text(body), F.coalesce(either("$.location.remote") == "true", F.lit(False)), either("$.releasedDate"))
+    return _row(met, "smartrecruiters", key, source, either("$.company.name"), either("$.name"), place, url, body, F.coalesce(either("$.location.remote") == "true", F.lit(False)), either("$.releasedDate"))
 
 
 def workday(lists: DataFrame, details: DataFrame, key: str, source: str, base_url: str) -> DataFrame:

@@ -71,7 +71,7 @@ def flat(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def write_csv(rows: DataFrame, path: str, columns: Sequence[str], compression: str = "none") -> None:
-    flat(rows, columns).write.mode("overwrite").option("header", True).option("emptyValue", "").option("compression", compression).csv(path)
+    flat(rows, columns).write.mode("overwrite").option("header", True).option("emptyValue", "").option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).option("compression", compression).csv(path)
 
 
 def write_json(rows: DataFrame, path: str, compression: str = "none") -> None:
