@@ -14,6 +14,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -70,7 +71,7 @@ class Encoder:
         self.start = [ids[letters[b]] for b in range(256)]
         merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
         table = pa.table({"a": [ids[x] for x, _ in merges], "b": [ids[y] for _, y in merges], "rank": list(range(len(merges))), "made": [ids[x + y] for x, y in merges]})
-        self.con = duckdb.connect(config={"threads": 1, "memory_limit": memory})
+        self.con = duckdb.connect(config={"threads": 1, "memory_limit": memory, "temp_directory": ""})
         self.con.register("merges_arrow", table)
         self.con.execute("CREATE TABLE merges AS SELECT a::INTEGER AS a, b::INTEGER AS b, rank::INTEGER AS rank, made::INTEGER AS made FROM merges_arrow")
         self.con.unregister("merges_arrow")
@@ -91,16 +92,24 @@ class Encoder:
                 self.known[part[word]] = ids
             self.con.unregister("start")
 
-    def encode(self, texts: list[str | None]) -> list[list[int]]:
-        """Ids of each text, without special tokens (their names in a text are ordinary text)."""
+    def _words(self, texts: list[str | None]) -> list[list[str]]:
+        """The words of each text, whose ids are all known afterwards."""
         lists = [self.split(t) if t else [] for t in texts]
         if len(self.known) > self.keep:
             self.known.clear()
-        known = self.known
-        fresh = {w for ws in lists for w in ws if w not in known}
+        fresh = {w for ws in lists for w in ws if w not in self.known}
         if fresh:
             self._learn(list(fresh))
-        return [[i for w in ws for i in known[w]] for ws in lists]
+        return lists
+
+    def encode(self, texts: list[str | None]) -> list[list[int]]:
+        """Ids of each text, without special tokens (their names in a text are ordinary text)."""
+        ids = self._words(texts)
+        return [list(chain.from_iterable(map(self.known.__getitem__, ws))) for ws in ids]
+
+    def count(self, texts: list[str | None]) -> list[int]:
+        """Number of ids of each text."""
+        return [sum(map(len, map(self.known.__getitem__, ws))) for ws in self._words(texts)]
 
 
 class Decoder:
@@ -113,7 +122,7 @@ class Decoder:
             ids = json.load(f)["model"]["vocab"]
         byte_of = {c: b for b, c in _byte_letters().items()}
         entries = [(i, bytes(byte_of[c] for c in t)) for t, i in ids.items() if all(c in byte_of for c in t)]
-        self.con = duckdb.connect(config={"threads": 1, "memory_limit": memory})
+        self.con = duckdb.connect(config={"threads": 1, "memory_limit": memory, "temp_directory": ""})
         self.con.register("entries", pa.table({"id": pa.array([i for i, _ in entries], pa.int32()), "bytes": pa.array([b for _, b in entries], pa.binary())}))
         self.con.execute("CREATE TABLE vocabulary AS SELECT * FROM entries")
 
@@ -134,14 +143,16 @@ SLICE = 1000
 
 
 def _mapper(vocabulary: str, finish, name: str = "made"):
+    """Function for mapInArrow: the last column, a text, replaced by what ``finish`` makes of it with an encoder."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = None
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE):
                 part = batch.slice(at, SLICE)
                 encoder = encoder or Encoder(vocabulary)
-                lists = encoder.encode(part.column(part.num_columns - 1).to_pylist())
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], finish(lists)], [*part.schema.names[:-1], name])
+                made = finish(encoder, part.column(part.num_columns - 1).to_pylist())
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], made], [*part.schema.names[:-1], name])
 
     return run
 
@@ -152,7 +163,7 @@ def encode(rows: DataFrame, key: str, text: str, vocabulary: str = VOCABULARY) -
     One row out for each row in, repeated keys too; whole texts, however long.
     """
     kind = dict(rows.dtypes)[key]
-    mapper = _mapper(vocabulary, lambda lists: pa.array(lists, pa.list_(pa.int32())))
+    mapper = _mapper(vocabulary, lambda encoder, texts: pa.array(encoder.encode(texts), pa.list_(pa.int32())))
     return rows.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(mapper, f"key {kind}, made array<int>").select(F.col("key").alias(key), F.col("made").alias("ids"))
 
 
@@ -161,7 +172,7 @@ def with_token_counts(rows: DataFrame, text: str, vocabulary: str = VOCABULARY)
     others = [c for c in rows.columns if c not in (text, "n_tokens")]
     kinds = dict(rows.dtypes)
     schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in others), "n_tokens int"])
-    mapper = _mapper(vocabulary, lambda lists: pa.array([len(x) for x in lists], pa.int32()), "n_tokens")
+    mapper = _mapper(vocabulary, lambda encoder, texts: pa.array(encoder.count(texts), pa.int32()), "n_tokens")
     return rows.select(*others, text).mapInArrow(mapper, schema)
 
 
