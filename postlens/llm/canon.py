@@ -20,6 +20,7 @@ import unicodedata
 from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import lru_cache
 from math import ceil
 
 import pyarrow as pa
@@ -41,6 +42,8 @@ _MODULES = ((re.compile(r"\bfi\s*[/-]\s*co\b"), "fico"), (re.compile(r"\bbw\s*/?
 
 def fold(text: str) -> str:
     """Lower case without accents, invisible characters and repeated blanks."""
+    if text.isascii():
+        return " ".join(text.replace("_", " ").lower().split())
     text = unicodedata.normalize("NFKD", _INVISIBLE.sub("", text).replace("_", " ")).casefold().translate(_FOLD)
     return " ".join("".join(c for c in text if not unicodedata.combining(c)).split())
 
@@ -107,14 +110,20 @@ def osa(a: str, b: str) -> int:
     return row[-1]
 
 
+@lru_cache(200_000)
 def place_distance(typed: str, name: str) -> int | None:
     """Edits if the typed piece can be a misspelling of the name, else null; codes must be exact."""
     a, b = typed.replace(" ", ""), name.replace(" ", "")
+    if a == b:
+        return 0
     most = 0 if len(b) <= 2 or len(a) < 3 else 1 if len(b) <= 7 else 2
+    if abs(len(a) - len(b)) > most:
+        return None
     d = osa(a, b)
     return d if d <= most else None
 
 
+@lru_cache(200_000)
 def word_distance(typed: str, word: str) -> int | None:
     """0 for the word or its abbreviation, the edits of a misspelling, else null.
 
@@ -130,8 +139,8 @@ def word_distance(typed: str, word: str) -> int | None:
         if len(typed) == len(word) + 1 and inside:
             return 1
         return 1 if len(word) == 3 and (len(typed) == 3 or word == "sap" and len(typed) == 2) and osa(typed, word) == 1 else None
-    d = osa(typed, word)
-    if d <= (1 if len(word) <= 7 else 2) and len(typed) >= 4:
+    most = 1 if len(word) <= 7 else 2
+    if len(typed) >= 4 and abs(len(typed) - len(word)) <= most and (d := osa(typed, word)) <= most:
         return d
     letters = iter(word)
     if 3 <= len(typed) <= len(word) - 2 and typed[0] == word[0] and all(c in letters for c in typed):
