@@ -6,7 +6,7 @@ import json
 from pyspark.sql import functions as F
 
 from postlens.sources import feeds, files, markup
-from postlens.sources.pages import SearchPages
+from postlens.sources.pages import search_pages
 from postlens.streaming.seen import read_pool, upsert_stream, watermarked_counts
 
 CARD = """<ul><li><div data-entity-urn="urn:li:jobPosting:31"><a class="base-card__full-link" href="https://x.example/j/31?a=1">l</a>
@@ -90,8 +90,7 @@ def test_search_pages(spark, tmp_path):
     (cell / "cell.json").write_text(json.dumps({"query": "q", "location": "l", "filter": "f"}))
     for n, page in enumerate((CARD, "", CARD)):
         (cell / f"{n}.html").write_text(page)
-    spark.dataSource.register(SearchPages)
-    got = spark.read.format("search_pages").load(str(tmp_path / "cells"))
+    got = search_pages(spark, str(tmp_path / "cells"))
     assert [(r["query"], r["page"]) for r in got.collect()] == [("q", 0)]
 
 
