@@ -8,17 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postlens.operators.timestamps import to_instants, zone_report
-from postlens.session import table
+from postlens.session import spread, table
 
 
 def job_instants(spark: SparkSession, d: str, keep: Sequence[str] = ("row_id",)) -> DataFrame:
     """Instants of linkedin_jobs.detail_fetched_at, beside the columns to keep."""
-    return to_instants(table(spark, d, "linkedin_jobs"), "detail_fetched_at", "worker_id", table(spark, d, "crawl_workers"), "ingested_at", keep=keep)
+    rows = table(spark, d, "linkedin_jobs").select(*dict.fromkeys([*keep, "detail_fetched_at", "worker_id", "ingested_at"]))
+    return to_instants(spread(rows), "detail_fetched_at", "worker_id", table(spark, d, "crawl_workers"), "ingested_at", keep=keep)
 
 
 def feed_instants(spark: SparkSession, d: str) -> DataFrame:
     """Instants of sap_jobs.posted_at by row."""
-    return to_instants(table(spark, d, "sap_jobs"), "posted_at", "source", table(spark, d, "feed_registry"), "ingested_at")
+    rows = table(spark, d, "sap_jobs").select("row_id", "posted_at", "source", "ingested_at")
+    return to_instants(spread(rows), "posted_at", "source", table(spark, d, "feed_registry"), "ingested_at")
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
