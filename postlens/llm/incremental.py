@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postlens.llm.ids import last_part, posting_number
+from postlens.session import written
 
 #: Bounds of a chunk in bytes, and the bits of the rolling hash that are zero at a cut.
 MIN_CHUNK, MAX_CHUNK, CUT_BITS = 3, 64, 2
@@ -267,6 +268,7 @@ def known_records(store: ChunkStore, history: DataFrame, incoming: DataFrame) ->
     never known.  Repeated records each have their row; without batches the result is empty.
     """
     store.load(history)
+    incoming = written(incoming.select("record", "batch", "content", "numbered"))  # numbers and addresses are read once
     numbers = sorted(r[0] for r in incoming.select("batch").distinct().collect())
     for number in numbers:
         batch = incoming.where(F.col("batch") == number)
