@@ -140,6 +140,7 @@ SENIORITY_RULES = (
     ("Senior", "sample", r"\bsenior\b|\bsr\.?\b|\bexpert\b|\b[5-9]\+?\s+years\b|\b10\+?\s+years\b"),
 )
 NO_SENIORITY = "Mid / Unspecified"
+# Patterns of titles, mentions of the product as a tool, and pay.
 TITLE_CORE = r"\bsap\b|\babap\b|\bs/4hana\b|\bs4hana\b|\bsuccessfactors\b|\bariba\b|\bfiori\b|\bui5\b|\bbtp\b|\bhana\b"
 TITLE_DELIVERY = r"\bconsultant\b|\bdeveloper\b|\bengineer\b|\barchitect\b|\badministrator\b|\bspecialist\b|\banalyst\b|\bsupport\b|\bmanager\b|\blead\b"
 TOOL_PHRASES = r"\bexperience with SAP\b|\bSAP experience\b|\bSAP knowledge\b|\bSAP system\b|\bSAP ERP\b"
@@ -156,17 +157,24 @@ SEARCH_FILTERS = {
     "past_week_remote": (604800, "remote"),
     "past_week_hybrid": (604800, "hybrid"),
 }
+# Page labels that stand where a place should.
 NO_PLACE_TEXT = r"applicants|views|reposted|promoted"
-STOP_WORDS = """about across also and are auf aus bei can companies company customers das der die ein eine for from für has have
- ich im in ist job join location looking mit not of on or our people role sap services sie that the their this und von we will with
- world description position seeking you your zum zur""".split()
+# Words and tokens that are no terms of a description.
+STOP_WORDS = [
+    "about", "across", "also", "and", "are", "auf", "aus", "bei", "can", "companies", "company", "customers",
+    "das", "der", "die", "ein", "eine", "for", "from", "für", "has", "have", "ich", "im",
+    "in", "ist", "job", "join", "location", "looking", "mit", "not", "of", "on", "or", "our",
+    "people", "role", "sap", "services", "sie", "that", "the", "their", "this", "und", "von", "we",
+    "will", "with", "world", "description", "position", "seeking", "you", "your", "zum", "zur",
+]
 STOP_TOKENS = ("m/w/d", "w/m/d", "d/m/w", "full-time", "remote")
+# Cities that stand for their country, and other names of places.
 CITY_COUNTRY = {
-    city: "Germany"
-    for city in (
-        "Berlin", "Bochum", "Cologne", "Dingolfing", "Dresden", "Düsseldorf", "Essen", "Gudow", "Hamm", "Heidelberg", "Langen", "Lübeck",
-        "Mannheim", "Munich", "Paderborn", "Remscheid", "Solingen", "Stuttgart", "Sömmerda", "Waiblingen", "Wangen im Allgäu", "Wetzlar",
-    )
+    "Berlin": "Germany", "Bochum": "Germany", "Cologne": "Germany", "Dingolfing": "Germany", "Dresden": "Germany",
+    "Düsseldorf": "Germany", "Essen": "Germany", "Gudow": "Germany", "Hamm": "Germany", "Heidelberg": "Germany",
+    "Langen": "Germany", "Lübeck": "Germany", "Mannheim": "Germany", "Munich": "Germany", "Paderborn": "Germany",
+    "Remscheid": "Germany", "Solingen": "Germany", "Stuttgart": "Germany", "Sömmerda": "Germany", "Waiblingen": "Germany",
+    "Wangen im Allgäu": "Germany", "Wetzlar": "Germany",
 }
 PLACE_ALIASES = {
     "USA": "United States", "US": "United States", "U.S.": "United States", "U.S.A.": "United States", "United States of America": "United States",
