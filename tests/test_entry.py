@@ -20,7 +20,7 @@ def test_entry(spark):
 
 
 @pytest.mark.skipif(not os.path.isdir(DATA), reason="no test data")
-@pytest.mark.parametrize("name", ["facets_one_pass_docs", "upsert_careers", "merge_shards_jobs", "stream_seen_events", "grid_slice"])
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query_equals_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
     con = duckdb.connect()
