@@ -235,8 +235,8 @@ def train(rows: DataFrame, key: str, text: str, label: str, title: str | None =
 AMBIGUOUS = 0.5
 
 
-def segments_of(text: str, title: str | None, model: Model) -> list[tuple[int, str, float, int, int, int, bool]]:
-    """(seg_no, lang, confidence, start, end, n_sentences, ambiguous) of one text."""
+def segments_of(text: str, title: str | None, model: Model) -> list[tuple[int, str, float, int, int, int, bool, int]]:
+    """(seg_no, lang, confidence, start, end, n_sentences, all of them ambiguous, ambiguous ones) of one text."""
     return _segments([(text, title)], model)[0]
 
 
@@ -258,13 +258,13 @@ def _segments(docs: list[tuple[str | None, str | None]], model: Model) -> list[l
             while j + 1 < len(ps) and lang[j + 1] == lang[i]:
                 j += 1
             c = float(conf[i : j + 1].mean())
-            runs.append((len(runs) + 1, LANGUAGES[lang[i]], c, ps[i][0], ps[j][1], j - i + 1, bool((conf[i : j + 1] < AMBIGUOUS).all())))
+            runs.append((len(runs) + 1, LANGUAGES[lang[i]], c, ps[i][0], ps[j][1], j - i + 1, bool((conf[i : j + 1] < AMBIGUOUS).all()), int((conf[i : j + 1] < AMBIGUOUS).sum())))
             i = j + 1
         out.append(runs)
     return out
 
 
-SEGMENT = "seg_no bigint, lang string, confidence double, start int, end int, n_sentences int, ambiguous boolean"
+SEGMENT = "seg_no bigint, lang string, confidence double, start int, end int, n_sentences int, ambiguous boolean, n_ambiguous int"
 
 
 def segments(rows: DataFrame, key: str, text: str, model: Model, title: str | None = None) -> DataFrame:
@@ -275,7 +275,7 @@ def segments(rows: DataFrame, key: str, text: str, model: Model, title: str | No
     """
     shared = rows.sparkSession.sparkContext.broadcast(model)
     kind = dict(rows.dtypes)[key]
-    types = pa.list_(pa.struct([("seg_no", pa.int64()), ("lang", pa.string()), ("confidence", pa.float64()), ("start", pa.int32()), ("end", pa.int32()), ("n_sentences", pa.int32()), ("ambiguous", pa.bool_())]))
+    types = pa.list_(pa.struct([("seg_no", pa.int64()), ("lang", pa.string()), ("confidence", pa.float64()), ("start", pa.int32()), ("end", pa.int32()), ("n_sentences", pa.int32()), ("ambiguous", pa.bool_()), ("n_ambiguous", pa.int32())]))
     names = [f.name for f in types.value_type]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
