@@ -452,7 +452,8 @@ def _mapped(rows: DataFrame, key: str, column: str, cut_up: Callable[[str], list
     given = rows.select(F.col(key), F.col(column).alias("value")).where(F.col("value").isNotNull() & ~_blank(F.col("value")))
     cores = given.select("value").distinct().mapInArrow(_cutter(cut_up), "value string, core string")
     parts = cores.select("core").distinct().mapInArrow(_lister(strings), "core string, s string")
-    links = link(parts.select("s"))
+    # one exchange that all joins read
+    links = link(parts.select("s").distinct())
     met = parts.join(links, parts["s"] == links["left"], "left")
     gathered = met.groupBy("core").agg(F.collect_list(F.when(F.col("right").isNotNull(), F.struct("s", "right", "jaccard"))).alias("similar"))
     meanings = gathered.mapInArrow(_decider(decide), "core string, ref_id bigint")
