@@ -196,12 +196,15 @@ class ChunkStore:
 
     def __init__(self, spark: SparkSession, path: str, rows_per_bucket: int = 4_000_000):
         self.spark, self.path, self.rows_per_bucket = spark, path.rstrip("/"), rows_per_bucket
+        self._n_buckets: int | None = None
 
     def _read(self, name: str, columns: str) -> DataFrame:
         return self.spark.read.schema(f"{columns}, part int, bucket int").parquet(f"{self.path}/{name}")
 
     def _buckets(self) -> int:
-        return self.spark.read.parquet(f"{self.path}/size").first()["n_buckets"]
+        if self._n_buckets is None:
+            self._n_buckets = self.spark.read.schema("n_buckets int").parquet(f"{self.path}/size").first()["n_buckets"]
+        return self._n_buckets
 
     def _earlier(self, name: str, columns: str, number: int, keys: DataFrame, key: Column) -> DataFrame:
         """Rows of the folders before a batch, of the history only the buckets in which ``keys`` fall (their list is as long as there are buckets at most)."""
@@ -216,8 +219,8 @@ class ChunkStore:
         made = first_records(history.withColumn("batch", F.lit(HISTORY))).mapInArrow(_cut_up, _CONTENTS)
         made.write.mode("overwrite").parquet(f"{self.path}/loaded")
         made = self.spark.read.schema(_CONTENTS).parquet(f"{self.path}/loaded")
-        n = max(1, -(-made.count() // self.rows_per_bucket))
-        self.spark.range(1).select(F.lit(n).alias("n_buckets")).write.mode("overwrite").parquet(f"{self.path}/size")
+        n = self._n_buckets = max(1, -(-made.count() // self.rows_per_bucket))
+        self.spark.range(1).select(F.lit(n).cast("int").alias("n_buckets")).write.mode("overwrite").parquet(f"{self.path}/size")
         self._spread(made, "contents", F.xxhash64("content"), n)
         made.select(F.explode("bag.h").alias("h")).groupBy("h").agg(F.count("*").alias("df")).write.mode("overwrite").parquet(f"{self.path}/order")
         self._spread(rare_chunks(made, self._order()).where("stored"), "index", F.col("h"), n)
