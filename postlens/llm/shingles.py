@@ -50,7 +50,8 @@ def batch_grams(lists: list[list[str]], n: int, hashes: WordHash) -> tuple[np.nd
     for k in range(n):
         gram += flat[k : k + total] * _MULT[k]
     inside = doc[:total] == doc[n - 1 :]
-    keys = np.unique((doc[:total][inside] << np.uint64(GRAM_BITS)) | (mix(gram[inside]) & MASK))
+    keys = np.sort((doc[:total][inside] << np.uint64(GRAM_BITS)) | (mix(gram[inside]) & MASK))
+    keys = keys[np.concatenate(([True], keys[1:] != keys[:-1]))] if len(keys) else keys
     sizes = np.bincount((keys >> np.uint64(GRAM_BITS)).astype(np.int64), minlength=len(lists))
     return keys, sizes
 

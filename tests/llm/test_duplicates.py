@@ -1,5 +1,6 @@
 """Problems 2, 3, 4 and 6 against brute force and in edge cases."""
 
+import collections
 import itertools
 import random
 import re
@@ -256,3 +257,41 @@ def test_text_shared_by_many_rows_and_pairs_equal_with_small_crowds(spark, monke
     got = {(r[0], r[1]) for r in neardup.similar_rows(df, "row_id", "text", n=3, similarity=0.7).collect()}
     sets = {i: {tuple(t.split()[k : k + 3]) for k in range(58)} for i, t in rows}
     assert got == {(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.7 * len(sets[a] | sets[b])}
+
+
+@pytest.mark.parametrize("crowd", [4096, 1])
+def test_texts_of_the_same_phrases_are_no_candidates(monkeypatch, crowd):
+    """Pairs that share a node by chance, whose number grows as the square of the texts, go no further than their node."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(neardup, "CROWD", crowd)
+    monkeypatch.setattr(neardup, "SIDES", 4)
+    rng = random.Random(9)
+    phrases = [" ".join(f"w{rng.randrange(300)}" for _ in range(8)) for _ in range(60)]
+    base = [" ".join(rng.sample(phrases, 15)) for _ in range(2500)]
+    texts = [*base, *(t.replace(" ", " new ", 1) for t in base[:200])]
+    least = neardup.least_agreement(0.7, 40)
+    given = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts), pa.array([1] * len(texts), pa.int64())], ["t", "text", "n"])
+    rows = sorted(r for b in neardup._paths(3, 30, 40, 6, 0.7)(iter([given])) for r in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True))
+
+    def batches(rows, width):
+        return (pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows[at : at + 500]], pa.int64()) for k in range(width)], [str(k) for k in range(width)]) for at in range(0, len(rows), 500))
+
+    dealt = sorted(r for b in neardup._below_nodes(batches(rows, 3), least) for r in zip(*(b.column(k).to_pylist() for k in range(4)), strict=True))
+    assert (crowd > 1) == all(c == 0 for c, *_ in dealt)
+    got = [r for b in neardup._in_cells(batches(dealt, 4), least) for r in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
+    nodes = collections.defaultdict(set)
+    for node, t, _ in rows:
+        nodes[node % 2**64 >> neardup.BELOW_NODE].add(t)
+    met = {p for ts in nodes.values() for p in itertools.combinations(sorted(ts), 2)}
+    near = {(i, 2500 + i) for i in range(200)}
+    assert near <= set(got) <= met and len(met) > 1000
+    assert len(set(got)) < 200 + 0.4 * (len(met) - 200)
+
+
+def test_agreement_asked_of_sketches_loses_next_to_nothing():
+    rng, least = np.random.default_rng(4), neardup.least_agreement(0.7, 40)
+    same = rng.random((200_000, 40)) < 0.7 + 0.3 / 4
+    assert 0 < (same.sum(axis=1) < least).mean() < 1.5e-4
+    x = rng.integers(0, 2**63, (1, 2), dtype=np.uint64)
+    assert neardup.agreement(x, x).tolist() == [40] and neardup.agreement(x, x ^ np.array([[0b0110, 3]], np.uint64)).tolist() == [37]
