@@ -10,7 +10,9 @@ source where the posteriors say nothing.
 
 Documents with the same label, the same likeliest domain and about the same confidence have the
 same rate, so one distributed sum over all documents gives all that the steps need: one row per
-profile, (sources + 1) x sources x LEVELS rows at most, however many documents there are.  Targets
+profile, (sources + 1) x sources x LEVELS rows at most, however many documents there are.  Each row has
+its documents' tokens by domain, summed over all their posteriors, so for given rates the expected
+tokens of every domain are those of the documents themselves.  Targets
 that a source can't reach at its cap are set to what it can give, and the rest is shared by the others
 in proportion to their targets.  Rates become whole copies by carrying the rounding error from the
 largest document to the smallest, so a source misses its tokens by about its smallest document.
@@ -85,7 +87,8 @@ def posteriors(texts: list[str | None], weights: np.ndarray, buckets: _Buckets)
 
 
 def measured(rows: DataFrame, key: str, text: str, source: str, weights: np.ndarray, vocabulary: str) -> DataFrame:
-    """``key``, ``source``, ``n_tokens``, ``seen`` (number of the likeliest domain), ``sure`` (its posterior), in one pass over the texts."""
+    """``key``, ``source``, ``n_tokens``, ``seen`` (number of the likeliest domain), ``sure`` (its posterior), ``member`` (the
+    posteriors of all domains), in one pass over the texts."""
     shared = rows.sparkSession.sparkContext.broadcast(weights)  # domains x 16,385 numbers
     kinds = dict(rows.dtypes)
 
@@ -99,10 +102,16 @@ def measured(rows: DataFrame, key: str, text: str, source: str, weights: np.ndar
                 sizes = encoder.count(texts)
                 p = posteriors(texts, shared.value, buckets)
                 best, sure = p.argmax(axis=1).astype(np.int32), p.max(axis=1)
-                yield pa.RecordBatch.from_arrays([*part.columns[:2], pa.array(sizes, pa.int32()), pa.array(best), pa.array(sure)], ["key", "source", "n_tokens", "seen", "sure"])
+                member = pa.ListArray.from_arrays(np.arange(len(p) + 1, dtype=np.int32) * p.shape[1], p.astype(np.float32).ravel())
+                cols = [*part.columns[:2], pa.array(sizes, pa.int32()), pa.array(best), pa.array(sure), member]
+                yield pa.RecordBatch.from_arrays(cols, ["key", "source", "n_tokens", "seen", "sure", "member"])
 
     made = rows.select(F.col(key).alias("key"), F.col(source).alias("source"), F.col(text).alias("text"))
-    return made.mapInArrow(run, f"key {kinds[key]}, source string, n_tokens int, seen int, sure double")
+    return made.mapInArrow(run, f"key {kinds[key]}, source string, n_tokens int, seen int, sure double, member array<float>")
+
+
+def _posterior(k: int) -> Column:
+    return F.get("member", F.lit(k)).cast("double")
 
 
 def reachable(shares: np.ndarray, capacity: np.ndarray, total: float) -> np.ndarray:
@@ -193,17 +202,17 @@ def _copies(group: pd.DataFrame) -> pd.DataFrame:
 
 @dataclass(frozen=True)
 class Mix:
-    """Documents of a mix (``key``, source, ``n_tokens``, ``seen``, ``sure``, ``rate``, ``cap``, ``copies``) and the fit behind it."""
+    """Documents of a mix (``key``, source, ``n_tokens``, ``seen``, ``sure``, ``rate``, ``cap``, ``copies``, and ``member`` unless
+    left out) and the fit behind it."""
 
     documents: DataFrame
     domains: list[str]
     shares: np.ndarray
-    prior: np.ndarray
     fit: Fit
 
 
 def plan_mix(
-    rows: DataFrame, targets: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", use_unlabelled: bool = False, vocabulary: str = VOCABULARY, per_bucket: int = 2000
+    rows: DataFrame, targets: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", use_unlabelled: bool = False, vocabulary: str = VOCABULARY, per_bucket: int = 2000, members: bool = True
 ) -> Mix:
     """The mix with its fit.
 
@@ -211,7 +220,7 @@ def plan_mix(
     allow).  Documents of a source without a target never take part; those with a null source only
     with ``use_unlabelled``, at most once each.  Null and empty texts have no tokens and no copies.
     Of targets listed twice the first by share holds; a list of over MOST_SOURCES is an error.  An
-    empty table gives an empty mix.  Rounding: documents of one source fall into buckets of about
+    empty table gives an empty mix.  ``members``: whether the documents come with their posteriors.  Rounding: documents of one source fall into buckets of about
     ``per_bucket`` by hash, in each of which the error is carried from document to document.
     """
     listed = targets.where(F.col(source).isNotNull()).groupBy(source).agg(F.max("target_share").alias("target_share"), F.max_by("max_repeats", "target_share").alias("max_repeats"))
@@ -229,36 +238,28 @@ def plan_mix(
     docs = cut(measured(part, key, text, source, weights, vocabulary).where("n_tokens > 0").withColumns({"label": number, "level": level}))
     profile = ["label", "seen", "level"]
     # at most (sources + 1) x sources x LEVELS rows
-    profiles = docs.groupBy(*profile).agg(F.sum("n_tokens").alias("n"), F.count("*").alias("docs"), (F.sum(F.col("sure") * F.col("n_tokens")) / F.sum("n_tokens")).alias("sure")).orderBy(*profile).collect()
-    prior = np.exp(weights[:, -1].astype(float))
+    by_domain = [F.sum(_posterior(k) * F.col("n_tokens")) for k in range(len(weights))]
+    profiles = docs.groupBy(*profile).agg(F.sum("n_tokens").alias("n"), F.count("*").alias("docs"), F.array(*by_domain).alias("tokens")).orderBy(*profile).collect()
     label, sizes = np.array([r["label"] for r in profiles], int), np.array([float(r["n"]) for r in profiles])
-    member = np.array([membership(r["seen"], r["sure"], prior) for r in profiles]).reshape(len(profiles), len(prior))
+    tokens = np.array([r["tokens"] for r in profiles], float).reshape(len(profiles), len(weights))
+    member = tokens / tokens.sum(axis=1, keepdims=True)
     fit = fit_rates(label, member, sizes, caps, shares, float(sizes[label >= 0].sum())) if profiles else Fit(np.zeros(0), np.zeros(len(domains)), np.zeros(len(domains)), 0, True)
     cap_of = [float(caps[k]) if k >= 0 else 1.0 for k in label]
     rated = rows.sparkSession.createDataFrame([(r["label"], r["seen"], r["level"], float(x), c) for r, x, c in zip(profiles, fit.rates, cap_of, strict=True)], "label int, seen int, level int, rate double, cap double")
     n_buckets = max(1, -(-sum(r["docs"] for r in profiles) // per_bucket))
     placed = docs.join(F.broadcast(rated), profile).withColumn("bucket", F.pmod(F.xxhash64("key", F.lit("mix")), F.lit(n_buckets)))
     kind = dict(rows.dtypes)[key]
-    columns = f"key {kind}, source string, n_tokens int, seen int, sure double, rate double, cap double"
+    columns = f"key {kind}, source string, n_tokens int, seen int, sure double, rate double, cap double" + ", member array<float>" * members
     names = [c.split()[0] for c in columns.split(", ")]
     grouped = placed.select(*names, "label", "bucket").groupBy("label", "bucket")
     made = grouped.applyInPandas(lambda g: _copies(g)[[*names, "copies"]], f"{columns}, copies int")
-    out = made.select(F.col("key").alias(key), F.col("source").alias(source), "n_tokens", "seen", "sure", "rate", F.col("cap").cast("int").alias("cap"), "copies")
-    return Mix(out, domains, shares, prior, fit)
+    out = made.select(F.col("key").alias(key), F.col("source").alias(source), "n_tokens", "seen", "sure", "rate", F.col("cap").cast("int").alias("cap"), "copies", *["member"] * members)
+    return Mix(out, domains, shares, fit)
 
 
 def mix(rows: DataFrame, targets: DataFrame, **options) -> DataFrame:
-    """The documents of ``plan_mix``."""
-    return plan_mix(rows, targets, **options).documents
-
-
-def membership(seen: int, sure: float, prior: np.ndarray) -> np.ndarray:
-    """Posteriors of a profile: the likeliest domain's as measured, the rest in proportion to the prior."""
-    p = prior.copy()
-    p[seen] = 0
-    p = p * ((1 - sure) / p.sum()) if p.sum() > 0 else p
-    p[seen] = sure if p.sum() > 0 else 1.0
-    return p
+    """The documents of ``plan_mix``, without their posteriors."""
+    return plan_mix(rows, targets, members=False, **options).documents
 
 
 def shares_of(mixed: DataFrame, targets: DataFrame, source: str = "source") -> DataFrame:
@@ -273,10 +274,9 @@ def domain_shares(mixed: Mix, source: str = "source") -> DataFrame:
     """Per domain: tokens of the mix by label (by posterior where there is none) and by posterior throughout, with
     their shares beside the target, and how the fit ended."""
     flow = F.col("n_tokens") * F.col("copies")
-    rest = F.lit(1.0) - F.get(F.array(*[F.lit(float(p)) for p in mixed.prior]), F.col("seen"))
     aggs: list[Column] = [F.sum(flow).alias("all")]
     for k, d in enumerate(mixed.domains):
-        p = F.when(F.col("seen") == k, F.col("sure")).otherwise((1 - F.col("sure")) * float(mixed.prior[k]) / rest)
+        p = _posterior(k)
         aggs += [F.sum(flow * F.when(F.col(source).isNotNull(), (F.col(source) == d).cast("double")).otherwise(p)).alias(f"a{k}"), F.sum(flow * p).alias(f"e{k}")]
     one = mixed.documents.agg(*aggs)
     rows = F.array(*[F.struct(F.lit(d).alias("domain"), F.lit(float(mixed.shares[k])).alias("target_share"), F.col(f"a{k}").alias("tokens"), F.col(f"e{k}").alias("expected_tokens")) for k, d in enumerate(mixed.domains)])

@@ -123,6 +123,28 @@ def test_mix_meets_targets_of_labels_and_of_posteriors(spark):
     assert often["a"] > often["b"] + 0.1
 
 
+@pytest.mark.skipif(not os.path.exists(encode.VOCABULARY), reason="no vocabulary")
+def test_fit_rests_on_all_posteriors_of_the_documents(spark):
+    rng, docs = random.Random(11), []
+    for source, n in {"a": 200, "b": 400, "c": 60}.items():
+        for k in range(n):
+            # what reads of a and of c stands in one document, though b is the commonest source
+            like = ("a", "c") if source == "a" and k % 2 else (source, source)
+            docs.append((source, " ".join(f"{rng.choice(like)}{rng.randint(0, 30)}" for _ in range(rng.randint(3, 8)))))
+    rows = spark.createDataFrame([(i, s, t) for i, (s, t) in enumerate(docs)], "doc_id bigint, source string, text string")
+    targets = spark.createDataFrame([("a", 0.4, 3), ("b", 0.3, 3), ("c", 0.3, 3)], "source string, target_share double, max_repeats int")
+    made = mixing.plan_mix(rows, targets)
+    weights = mixing.fit_domains(rows, "doc_id", "text", "source", ["a", "b", "c"])
+    p = mixing.posteriors([t for _, t in docs], weights, mixing._Buckets())
+    got = made.documents.orderBy("doc_id").collect()
+    assert np.allclose([r["member"] for r in got], p, atol=1e-5)
+    flow = np.array([r["n_tokens"] * r["rate"] for r in got])
+    assert made.fit.converged and np.allclose(flow @ p, made.fit.expected, rtol=1e-4)
+    shares = {r["domain"]: r["expected_tokens"] for r in mixing.domain_shares(made).collect()}
+    assert np.allclose(np.array([r["n_tokens"] * r["copies"] for r in got]) @ p, [shares[k] for k in "abc"], rtol=1e-4)
+    assert "member" not in mixing.mix(rows, targets).columns
+
+
 def test_shifted_rates():
     sizes, rates = np.array([10.0, 20.0, 30.0]), np.array([0.2, 1.0, 1.9])
     got = mixing.shifted(rates, sizes, 2.0, 80.0)
